@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidewire.functions.bitmaps import bit_at
 from tidewire.functions.instants import tidy
 
 SHARDS = 256
@@ -24,11 +25,6 @@ def message_id(text: Column) -> Column:
     return F.nullif(F.lower(tidy(text)), F.lit(""))
 
 
-def _bit(bitmap: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.shiftright(F.coalesce(byte, F.lit(0)), 0).bitwiseAND(F.pow(F.lit(2), F.pmod(position, F.lit(8))).cast("int")) != 0
-
-
 class SeenStore:
     """Dictionary and seen-bitmaps below one shared path; shards bounds the size of one shard's sort and may grow with the data
     (it is fixed for the life of a store)."""
@@ -70,7 +66,7 @@ class SeenStore:
             seen = self._bitmaps(ids)
             best = best.join(known.select("id", "code"), "id", "left")
             best = best.withColumn("bucket", F.bitmap_bucket_number("code")).join(seen, ["shard", "bucket"], "left")
-            best = best.where(~F.coalesce(F.col("code").isNotNull() & _bit(F.col("bits"), F.bitmap_bit_position("code")), F.lit(False))).select("id", "shard", "delivery")
+            best = best.where(~F.coalesce(F.col("code").isNotNull() & bit_at(F.col("bits"), F.bitmap_bit_position("code")), F.lit(False))).select("id", "shard", "delivery")
             base = known.groupBy("shard").agg((F.max("code") + 1).alias("base"))
             best = best.join(F.broadcast(base), "shard", "left")  # at most `shards` rows
         else:
