@@ -31,7 +31,8 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per source: what it reads is joined as a small dimension whose size AQE checks
     items = to_instants(items.join(clock, "source_id", "left"), "published_at", "clock_zone", "day_first").select("rec_id", "published_ms")
     events = read(spark, sf_dir, "raw_intel_event").select(F.col("event_id").alias("rec_id"), epoch_bigint_ms(F.col("published_at_ms")).alias("published_ms"))
-    return items.unionByName(events).where("published_ms is not null and rec_id is not null").groupBy("rec_id").agg(F.min("published_ms").alias("published_ms"))
+    # filtered after the aggregation: a filter below it would be pushed into the parser and repeat all of it
+    return items.unionByName(events).groupBy("rec_id").agg(F.min("published_ms").alias("published_ms")).where("published_ms is not null and rec_id is not null")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
