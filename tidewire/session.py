@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "tidewire", cpus: str | int = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def build_session(app: str = "tidewire", cpus: str | int = "*", memory: str = "8g", partitions: int = 8, shared: str | None = None) -> SparkSession:
     """A local session with the settings the engine expects (UTC, AQE, Arrow)."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.driver.memory", memory)
@@ -21,18 +21,20 @@ def build_session(app: str = "tidewire", cpus: str | int = "*", memory: str = "8
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", shared) if shared else builder).getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else (tests only) a fresh temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else (tests only) one set before or a fresh temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
+    if at:
+        return at
+    known = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not known.isDefined():
+        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='tidewire-')}")
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = known.get() if known.isDefined() else f"file://{tempfile.mkdtemp(prefix='tidewire-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    return known.get()
 
 
 def cut(df: DataFrame, eager: bool = False) -> DataFrame:
