@@ -150,7 +150,9 @@ def candidate_pairs(reps: DataFrame, least: float, halves: int) -> DataFrame:
     # A bucket of two, which is nearly every one, is told by its least and greatest number and the xor of its sketches
     by = cells.groupBy(*group).agg(F.count(F.lit(1)).alias("c"), F.min("no").alias("no_a"), F.max("no").alias("no_b"), F.bit_xor("s1").alias("x1"), F.bit_xor("s2").alias("x2"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
     two = by.where((F.col("c") == 2) & fit(F.col("n_lo"), F.col("n_hi")) & (_differing(F.col("x1")) + _differing(F.col("x2")) <= far)).select("no_a", "no_b")
-    many = cells.join(by.where("c > 2").select(*group), group, "left_semi")
+    # Of larger buckets the rows are taken again by their first half-key, where the one shuffle has put them
+    hot = by.where("c > 2").groupBy("i", "ka").agg(F.collect_set(F.struct("j", "kb")).alias("hot"))
+    many = first.join(hot.hint("merge"), ["i", "ka"]).select("no", "n", "s1", "s2", "i", "ka", "hot", F.posexplode("b").alias("j", "kb")).where(F.array_contains("hot", F.struct("j", "kb"))).drop("hot")
     left = many.select(*group, *[F.col(c).alias(f"{c}_a") for c in ("no", "n", "s1", "s2")])
     right = many.select(*group, *[F.col(c).alias(f"{c}_b") for c in ("no", "n", "s1", "s2")])
     near = _differing(F.col("s1_a").bitwiseXOR(F.col("s1_b"))) + _differing(F.col("s2_a").bitwiseXOR(F.col("s2_b"))) <= far
@@ -174,13 +176,13 @@ def near_duplicates(df: DataFrame, key: str, order: str, text: Column, similarit
     candidate_pairs(reps, similarity, halves).write.parquet(found)
     pairs = spark.read.parquet(found)
     wanted = pairs.select(F.explode(F.array("no_a", "no_b")).alias("no")).distinct()
-    texts = df.select(F.col(order).cast("bigint").alias("no"), text.alias("text")).join(wanted, "no", "left_semi")
+    texts = df.select(F.col(order).cast("bigint").alias("no"), text.alias("text")).join(wanted.hint("merge"), "no", "left_semi")
     elements = texts.mapInArrow(_element_rows, "no bigint, elements array<bigint>")
     a = elements.select(F.col("no").alias("no_a"), F.col("elements").alias("ea"))
     b = elements.select(F.col("no").alias("no_b"), F.col("elements").alias("eb"))
     shared = F.size(F.array_intersect("ea", "eb"))
     s = shared / (F.size("ea") + F.size("eb") - shared)
-    links = pairs.join(a, "no_a").join(b, "no_b").select("no_a", "no_b", s.alias("similarity")).where(F.col("similarity") >= similarity)
+    links = pairs.join(a.hint("merge"), "no_a").join(b.hint("merge"), "no_b").select("no_a", "no_b", s.alias("similarity")).where(F.col("similarity") >= similarity)
     return members, links
 
 
