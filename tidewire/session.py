@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,25 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the Python workers this package, once per session: a zip of its sources in the shared folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidewire_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    at = os.path.join(folder, f)
+                    z.write(at, os.path.join(os.path.basename(root), os.path.relpath(at, root)))
+    path = f"{scratch(spark, 'package')}.zip"
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    sc.addPyFile(path)
+    sc._tidewire_shipped = True
