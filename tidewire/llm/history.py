@@ -85,7 +85,7 @@ def seen_before(batch: DataFrame, key: str, old_hashes: DataFrame, old_bits: Dat
 
 
 class HistoryRuns:
-    """Persisted runs below one shared path: hashes/range=R/, bits/range=R/ with sorted files. `ranges` is fixed for the life of a store."""
+    """Persisted runs below one shared path: gen-G/hashes/run=R/range=N and gen-G/bits/run=R/range=N with sorted files. `ranges` is fixed for the life of a store."""
 
     def __init__(self, spark: SparkSession, path: str, ranges: int = 16):
         self.spark, self.path, self.ranges = spark, path.rstrip("/"), ranges
@@ -105,26 +105,25 @@ class HistoryRuns:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{gen}.ok")
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(p, True).close()
 
-    def _write(self, hashes: DataFrame, keyed: DataFrame, at: str, mode: str) -> None:
+    def _write(self, hashes: DataFrame, keyed: DataFrame, gen: str, run: str) -> None:
         h = hashes.select("kind", "value").withColumn("range", F.pmod(F.xxhash64("value"), F.lit(self.ranges)).cast("int"))
-        h.repartition("range").sortWithinPartitions("range", "kind", "value").write.mode(mode).partitionBy("range").parquet(f"{at}/hashes")
+        h.repartition("range").sortWithinPartitions("range", "kind", "value").write.mode("overwrite").partitionBy("range").parquet(f"{self.path}/{gen}/hashes/run={run}")
         b = keyed.select("bits", "k").withColumn("range", F.pmod(F.xxhash64("k"), F.lit(self.ranges)).cast("int"))
-        b.repartition("range").sortWithinPartitions("range", "k", "bits").write.mode(mode).partitionBy("range").parquet(f"{at}/bits")
+        b.repartition("range").sortWithinPartitions("range", "k", "bits").write.mode("overwrite").partitionBy("range").parquet(f"{self.path}/{gen}/bits/run={run}")
 
     def append(self, batch: DataFrame, run: str, content: str, url: str, simhash: str) -> None:
         """Files a batch as a new sorted run; the same run id again replaces it."""
         gen = self._current() or "gen-000000"
         hashes, bits = filed(batch, content, url, simhash)
-        self._write(hashes, bits.select("bits", F.explode(arranged(F.col("bits"))).alias("k")), f"{self.path}/{gen}/run={run}", "overwrite")
+        self._write(hashes, bits.select("bits", F.explode(arranged(F.col("bits"))).alias("k")), gen, run)
         self._mark(gen)
 
     def tables(self) -> tuple[DataFrame, DataFrame]:
         gen = self._current()
         if gen is None:
             return self.spark.createDataFrame([], "kind string, value string"), self.spark.createDataFrame([], "bits bigint, k bigint")
-        base = f"{self.path}/{gen}"
-        opened = lambda what: self.spark.read.option("basePath", base).parquet(f"{base}/run=*/{what}")
-        return opened("hashes").select("kind", "value", "range"), opened("bits").select("bits", "k", "range")
+        opened = lambda what, schema: self.spark.read.schema(f"{schema}, run string, range int").parquet(f"{self.path}/{gen}/{what}")
+        return opened("hashes", "kind string, value string").drop("run"), opened("bits", "bits bigint, k bigint").drop("run")
 
     def match(self, batch: DataFrame, key: str, content: str, url: str, simhash: str) -> DataFrame:
         """As seen_before against all runs; only ranges that the batch has keys in are read."""
@@ -145,5 +144,5 @@ class HistoryRuns:
             return
         hashes, bits = self.tables()
         new = f"gen-{int(gen[4:]) + 1:06d}"
-        self._write(hashes.select("kind", "value").distinct(), bits.select("bits", "k").distinct(), f"{self.path}/{new}/run=compacted", "overwrite")
+        self._write(hashes.select("kind", "value").distinct(), bits.select("bits", "k").distinct(), new, "compacted")
         self._mark(new)

@@ -8,6 +8,7 @@ grade (isotonic) and give its error. Fitting uses at most max_labels documents o
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,39 +39,51 @@ def features(text: str | None) -> np.ndarray | None:
     if not text:
         return None
     clean = _TAG.sub(" ", text) if "<" in text or "&" in text or "http" in text else text
-    words = _WORD.findall(clean.lower())
+    low = clean.lower()
+    words = _WORD.findall(low)
     n = len(words)
     if n < 3:
         return None
-    english = sum(map(ENGLISH.__contains__, words))
-    if english < 0.1 * n or english <= 1.5 * sum(map(FOREIGN.__contains__, words)):
+    counts = Counter(words)
+    total = lambda s: sum([c for w, c in counts.items() if w in s])
+    english = total(ENGLISH)
+    if english < 0.1 * n or english <= 1.5 * total(FOREIGN):
         return None
-    if sum(map(str.isascii, words)) < 0.7 * n:
+    if not low.isascii() and sum([c for w, c in counts.items() if w.isascii()]) < 0.7 * n:
         return None
-    sizes = np.fromiter(map(len, words), np.int64, n)
-    sentences = [s for s in _SENTENCE.split(clean) if s and not s.isspace()] or [clean]
+    by_size = Counter()
+    for w, c in counts.items():
+        by_size[len(w)] += c
+    letters = sum([k * c for k, c in by_size.items()])
+    at_least = lambda k: sum([c for size, c in by_size.items() if size >= k]) / n
+    sentences = [s for s in _SENTENCE.split(low) if s and not s.isspace()] or [low]
     m = len(sentences)
-    lengths = np.array([len(s.split()) for s in sentences], dtype=float)
-    distinct = set(words)
-    overlap, last = 0.0, None
-    for s in sentences[:]:
-        own = {w for w in s.lower().split() if len(w) > 3}
+    lengths, overlap, last = [], 0.0, None
+    for s in sentences:
+        parts = s.split()
+        lengths.append(len(parts))
+        own = {w for w in parts if len(w) > 3}
         if last:
             overlap += len(own & last) / max(1, min(len(own), len(last)))
         last = own
-    syllables = len(_VOWELS.findall(" ".join(words)))
+    lengths.sort()
+    total_length, mean_length = sum(lengths), sum(lengths) / m
+    long = sum([x for x in lengths if x > 30])
+    raw = clean.encode()
+    without = lambda drop: len(raw) - len(raw.translate(None, drop))
+    syllables = len(_VOWELS.findall(low))
     chars = max(1, len(clean))
     rate = lambda c: clean.count(c) / m
-    share = lambda s: sum(map(s.__contains__, words)) / n
     mean = n / m
     return np.array([
-        mean, lengths.std(), lengths.max(), np.quantile(lengths, 0.9), np.quantile(lengths, 0.5), sizes.mean(), sizes.std(),
-        (sizes >= 7).mean(), (sizes >= 10).mean(), (sizes >= 13).mean(), len(distinct) / (2 * n) ** 0.5, sum(map(len, distinct)) / len(distinct),
-        rate(","), rate(";") + rate(":"), rate("?") + rate("!"), rate("“") + rate('"'), rate("-"), sum(map(str.isdigit, clean)) / chars,
-        sum(map(str.isupper, clean)) / chars, english / n, share(SUBORDINATE), share(PRONOUNS), share(CONNECTIVES), syllables / n,
-        (lengths > 30).mean(), lengths[lengths > 30].sum() / max(1.0, lengths.sum()), clean.count(",") / n,
+        mean, (sum([(x - mean_length) ** 2 for x in lengths]) / m) ** 0.5, lengths[-1], lengths[min(m - 1, m * 9 // 10)], lengths[m // 2],
+        letters / n, max(0.0, sum([k * k * c for k, c in by_size.items()]) / n - (letters / n) ** 2) ** 0.5,
+        at_least(7), at_least(10), at_least(13), len(counts) / (2 * n) ** 0.5, sum(map(len, counts)) / len(counts),
+        rate(","), rate(";") + rate(":"), rate("?") + rate("!"), rate("“") + rate('"'), rate("-"), without(b"0123456789") / chars,
+        without(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") / chars, english / n, total(SUBORDINATE) / n, total(PRONOUNS) / n, total(CONNECTIVES) / n, syllables / n,
+        sum([x > 30 for x in lengths]) / m, long / max(1, total_length), clean.count(",") / n,
         0.39 * mean + 11.8 * syllables / n - 15.59, overlap / max(1, m - 1),
-    ])
+    ], dtype=float)
 
 
 @dataclass
@@ -78,7 +91,7 @@ class Trees:
     """Gradient-boosted regression trees of one depth over binned features; squared loss."""
 
     count: int = 120
-    depth: int = 3
+    depth: int = 4
     rate: float = 0.1
     edges: np.ndarray | None = None
     base: float = 0.0
@@ -92,7 +105,7 @@ class Trees:
         b = self._bin(x)
         n, f = b.shape
         cell = b + np.arange(f) * BINS
-        least = max(2.0, weight.sum() / 25)  # large leaves: graders err
+        least = max(min(8.0, weight.sum() / 4), weight.sum() / 50)  # large leaves: graders err
         self.base = float(np.average(y, weights=weight))
         pred = np.full(n, self.base)
         for _ in range(self.count):
