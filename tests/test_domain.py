@@ -17,8 +17,17 @@ from tidewire.sources.payloads import rich_text
 SMALL = "/root/testdata/sf0.001"
 
 
-def sequential(rows):
+def sequential(rows, before=()):
     keys, source, content, kept, out = set(), {}, {}, [], {}
+    for key, event, exact, norm, bits, _ in sorted(before, key=lambda x: x[5]):
+        keys.add(key)
+        if event is not None:
+            if exact is not None:
+                source[exact] = (event, norm)
+            if norm is not None:
+                content[norm] = event
+            if bits:
+                kept.append((event, bits))
     for ord_, event, key, exact, norm, bits in sorted(rows):
         bits = bits or 0
         d, of = "new", None
@@ -55,6 +64,13 @@ def test_decisions_against_one_pass(spark):
     assert got == sequential(rows)
     assert {d for d, _ in got.values()} == {"new", "exact_duplicate", "content_duplicate", "near_duplicate", "update_of_existing"}
     assert decide(df.limit(0), "event_ord", "bits").count() == 0
+    before = []
+    for i in range(300):
+        exact, norm = rows[r.randrange(len(rows))][3:5] if i % 3 else (r.choice([None, f"x{i + 900}"]), r.choice([None, f"n{i + 900}"]))
+        before.append((f"{exact}:{norm}:{i % 2}" if i % 4 else rows[i][2], r.choice([None, f"k{i}"]), exact, norm, r.choice([None, 0, r.choice(bases) ^ (1 << r.randrange(62)), r.getrandbits(62)]), 1000 + i))
+    known = spark.createDataFrame(before, "dedup_key string, event_id string, exact_source_key string, content string, bits bigint, observed_at_ms bigint").repartition(3)
+    got = {x.ord: (x.dedup_decision, x.duplicate_of_event_id) for x in decide(df, "event_ord", "bits", known=known).collect()}
+    assert got == sequential(rows, before)
 
 
 def test_components_of_a_long_chain(spark):

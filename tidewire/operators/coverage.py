@@ -74,3 +74,35 @@ def registry_violations(assets: DataFrame, sources: DataFrame) -> DataFrame:
         .unionByName(named.join(assets.select("asset"), "asset", "left_anti").select(F.lit("asset_not_in_universe").alias("rule"), F.col("asset").alias("subject")))
         .unionByName(assets.where(blank("asset")).select(F.lit("blank_asset").alias("rule"), F.lit("").alias("subject")))
     )
+
+
+def focus_symbols(gap: DataFrame) -> DataFrame:
+    """Distinct canonical symbols of a candidate-gap document (one JSON text per row, `doc`), whichever of its known shapes it has."""
+    from tidewire.functions.text import canonical_symbol
+
+    v = F.try_parse_json("doc")
+    shapes = [F.try_variant_get(v, path, "array<string>") for path in ("$.gaps.approved_symbols_without_candidate", "$.approved_symbols_without_candidate")]
+    listed = F.transform(F.try_variant_get(v, "$.symbols", "array<struct<symbol:string>>"), lambda s: s.symbol)
+    return gap.select(F.explode(F.coalesce(listed, *shapes)).alias("s")).where("s is not null").select(canonical_symbol(F.col("s")).alias("asset")).where("asset <> ''").distinct()
+
+
+def diagnosis(covered: DataFrame, focus: DataFrame) -> DataFrame:
+    """One row: how many focus symbols are outside the universe, directly covered, only available, or without inventory; and the
+    verdict, the first of the ladder that applies. Registry-sized tables."""
+    f = focus.select("asset").distinct().withColumn("focus", F.lit(True))
+    x = covered.join(f, "asset", "full_outer")
+    inside = F.col("coverage_status").isNotNull()
+    asked = F.coalesce("focus", F.lit(False))
+    n = lambda c: F.count_if(c)
+    none = (F.col("enabled_direct") == 0) & (F.col("disabled_direct") == 0)
+    out = x.agg(
+        n(inside).alias("assets"), n(asked).alias("focus_symbols"), n(asked & ~inside).alias("outside_universe"),
+        n(asked & (F.col("enabled_direct") > 0)).alias("focus_direct"), n(asked & (F.col("enabled_direct") == 0) & (F.col("disabled_direct") > 0)).alias("focus_available"),
+        n(asked & none).alias("focus_without_inventory"), n(inside & (F.col("enabled_direct") == 0)).alias("assets_without_direct"),
+    )
+    verdict = (
+        F.when(F.col("outside_universe") > 0, "RECONCILE_CANDIDATE_GAP_UNIVERSE").when((F.col("focus_symbols") > 0) & (F.col("focus_direct") == F.col("focus_symbols")), "PASS_CANDIDATE_GAP_DIAGNOSIS")
+        .when(F.col("focus_available") > 0, "INSPECT_CANDIDATE_SOURCE_ACTIVATION_BLOCKERS").when(F.col("focus_without_inventory") > 0, "ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY")
+        .when(F.col("assets_without_direct") > 0, "EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE").otherwise("NO_SOURCE_COVERAGE_GAP_DETECTED")
+    )
+    return out.withColumn("verdict", verdict)

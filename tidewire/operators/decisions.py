@@ -58,10 +58,24 @@ def components(links: DataFrame, rounds: int = 30) -> DataFrame:
 
 
 def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Events of one component in order."""
+    """Events of one component in order, after the known records among them."""
     keys, by_source, by_content, kept = set(), {}, {}, []
+
+    def keep(r) -> None:
+        keys.add(r.dedup_key)
+        if r.event_id is not None:
+            if r.exact_source_key is not None:
+                by_source[r.exact_source_key] = (r.event_id, r.content)
+            if r.content is not None:
+                by_content[r.content] = r.event_id
+            if r.bits:
+                kept.append((r.event_id, r.bits))
+
     out = []
-    for r in pdf.sort_values("ord").itertuples():
+    for r in pdf.sort_values(["fresh", "at", "ord"]).itertuples():
+        if not r.fresh:
+            keep(r)
+            continue
         decision, of = "new", None
         if r.dedup_key in keys:
             decision = "exact_duplicate"
@@ -75,28 +89,46 @@ def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
             decision = "near_duplicate" if of else "new"
         out.append((r.ord, decision, of))
         if decision in ("new", "update_of_existing"):
-            keys.add(r.dedup_key)
-            by_source[r.exact_source_key] = (r.event_id, r.content)
-            by_content[r.content] = r.event_id
-            if r.bits:
-                kept.append((r.event_id, r.bits))
+            keep(r)
     return pd.DataFrame(out, columns=["ord", "dedup_decision", "duplicate_of_event_id"])
 
 
-def decide(events: DataFrame, ord_: str, bits: str, content: str = "normalized_content_hash") -> DataFrame:
+_KEYS = ("event_id", "dedup_key", "exact_source_key", "content", "bits")
+
+
+def _touched(known: DataFrame, rows: DataFrame) -> DataFrame:
+    """The known records that share a key with an event or nearly its simhash; the others cannot matter to any decision."""
+    x = known.withColumn("n", F.monotonically_increasing_id())
+    ids = [x.join(rows.select(k).where(F.col(k).isNotNull()).distinct(), k, "left_semi").select("n") for k in ("dedup_key", "exact_source_key", "content")]
+    new = rows.where("bits <> 0").select("bits").distinct().select(F.col("bits").alias("y"), F.explode(bands(F.col("bits"))).alias("k"))
+    old = x.where("bits <> 0").select("n", "bits", F.explode(bands(F.col("bits"))).alias("k"))
+    ids.append(old.join(new, "k").where(F.bit_count(F.col("bits").bitwiseXOR(F.col("y"))) <= MAX_BITS).select("n"))
+    every = ids[0]
+    for i in ids[1:]:
+        every = every.unionByName(i)
+    return x.join(every.distinct(), "n", "left_semi")
+
+
+def decide(events: DataFrame, ord_: str, bits: str, content: str = "normalized_content_hash", known: DataFrame | None = None) -> DataFrame:
     """ord, dedup_decision, duplicate_of_event_id of every event, as one pass in order of `ord_` (a unique bigint) would decide.
 
     1 a known dedup_key is an exact duplicate (of nothing named); 2 a known source key is exact with the same content, else an
     update of the latest; 3 known content is a content duplicate; 4 a simhash within four bits of a kept one is a near duplicate of
     the first such; 5 the rest is new. New events and updates are kept, others leave no trace. Null simhashes count as zero.
+    known: records accepted before (as sources.index.known gives them), taken first, in order of observed_at_ms.
     A component is the unit of work: linked events are decided one after another by definition.
     """
     rows = events.select(F.col(ord_).cast("bigint").alias("ord"), "event_id", "dedup_key", "exact_source_key", F.col(content).alias("content"), F.coalesce(bits, F.lit(0)).cast("bigint").alias("bits"))
+    rows = rows.withColumns({"at": F.col("ord"), "fresh": F.lit(True)})
+    if known is not None:
+        old = cut(known.select(*_KEYS, F.col("observed_at_ms").alias("at")).withColumn("bits", F.coalesce("bits", F.lit(0))), eager=True)  # numbered below: must not be read anew
+        old = _touched(old, rows).select((F.col("n") - (1 << 62)).alias("ord"), *_KEYS, F.coalesce("at", F.lit(0)).alias("at"), F.lit(False).alias("fresh"))
+        rows = cut(rows.unionByName(old), eager=True)
     links = star_links(rows, "dedup_key").unionByName(star_links(rows, "exact_source_key")).unionByName(star_links(rows, "content")).unionByName(near_links(rows)).distinct()
     label = components(links)
     tied = rows.join(label, rows["ord"] == label["node"]).drop("node")
     done = tied.groupBy("label").applyInPandas(_decide, "ord bigint, dedup_decision string, duplicate_of_event_id string")
-    free = rows.join(label, rows["ord"] == label["node"], "left_anti").select("ord", F.lit("new").alias("dedup_decision"), F.lit(None).cast("string").alias("duplicate_of_event_id"))
+    free = rows.where("fresh").join(label, rows["ord"] == label["node"], "left_anti").select("ord", F.lit("new").alias("dedup_decision"), F.lit(None).cast("string").alias("duplicate_of_event_id"))
     return done.unionByName(free)
 
 

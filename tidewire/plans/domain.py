@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators.admission import admit, first_items, rotated_priority
-from tidewire.operators.coverage import coverage, histogram, registry_violations
+from tidewire.operators.coverage import coverage, diagnosis, histogram, registry_violations
 from tidewire.operators.events import category_hint, content_kind, content_quality, quality_score, relevance_scope, source_depth, source_quality
 from tidewire.operators.health import cadence_admitted, failure_runs, failure_type, health_level, retryable
 from tidewire.operators.symbols import haystack, symbol_matcher
+from tidewire.plans.ingest import Run, ingest
 from tidewire.sources.feeds import feed_items
+from tidewire.sources.index import known
 from tidewire.sources.layout import event_partitions, locate, manifest, replay
 from tidewire.sources.payloads import announcements, in_range, latest_per_key, rich_text_column
+from tidewire.sources.pointers import created_pointers
 from tidewire.session import read
 
 
@@ -114,6 +117,24 @@ def jsonl_locators(spark: SparkSession, d: str) -> DataFrame:
     return locate(_lines(spark, d), ["dt", "hour", "source_category", "source_id"], "event_ord", "line", 3).select("event_ord", "part", "line_number", "byte_offset", "byte_length", "content_sha256")
 
 
+def created_pointers_q(spark: SparkSession, d: str) -> DataFrame:
+    rows = event_partitions(read(spark, d, "raw_intel_event"), "fetched_at_ms").withColumn("line", F.concat(F.lit('{"event_id":"'), "event_id", F.lit('"}')))
+    p = created_pointers(locate(rows, ["dt", "hour", "source_category", "source_id", "run_id"], "event_ord", "line"), "bucket", F.col("fetched_at_ms") + 1)
+    return p.select("event_id", "created_at_ms", "content_hash", F.array_join("symbol_candidates", ",").alias("symbols"), "storage_ref.key", "storage_ref.line_number", "storage_ref.byte_offset", "storage_ref.content_sha256")
+
+
+def coverage_diagnosis(spark: SparkSession, d: str) -> DataFrame:
+    """The focus is the universe's own verified assets."""
+    assets = read(spark, d, "universe_asset")
+    return diagnosis(coverage(assets, read(spark, d, "intel_source")), assets.where("rss_seed_status = 'verified'").select("asset"))
+
+
+def ingest_run(spark: SparkSession, d: str) -> DataFrame:
+    run = Run("intel-crawl-20260101T000000000000000Z", 1_767_225_600_000, "bucket", CAPS)
+    _, pointers = ingest(read(spark, d, "feed_item"), read(spark, d, "intel_source"), read(spark, d, "universe_asset"), known(read(spark, d, "dedup_index_v2")), run)
+    return pointers.select("event_id", "source_id", "dedup_decision", "duplicate_of_event_id", "storage_ref.key", "storage_ref.line_number", "storage_ref.byte_offset")
+
+
 def partition_manifest(spark: SparkSession, d: str) -> DataFrame:
     """The objects of a run with their counts, as one manifest row that is opened again for comparison."""
     placed = locate(_lines(spark, d), ["dt", "hour", "source_category", "source_id"], "event_ord", "line", 1000)
@@ -154,7 +175,7 @@ def announcement_items(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "symbol_match": symbol_match, "event_classification": event_classification, "topk_per_source": topk_per_source, "balance_admission": balance_admission, "balance_records": balance_records,
     "asset_coverage": asset_coverage, "category_histogram": category_histogram, "registry_violations": registry_violations_q, "failure_backoff": failure_backoff, "cadence_admission": cadence_admission,
-    "health_records": health_records, "asset_rotation": asset_rotation, "range_backfill": range_backfill, "latest_rates": latest_rates, "jsonl_locators": jsonl_locators, "partition_manifest": partition_manifest,
+    "health_records": health_records, "asset_rotation": asset_rotation, "range_backfill": range_backfill, "latest_rates": latest_rates, "jsonl_locators": jsonl_locators, "created_pointers": created_pointers_q, "coverage_diagnosis": coverage_diagnosis, "ingest_run": ingest_run, "partition_manifest": partition_manifest,
     "outbox_replay": outbox_replay, "feed_parse": feed_parse, "rich_text_flatten": rich_text_flatten, "announcement_items": announcement_items,
 }
 
@@ -221,6 +242,18 @@ SELECT asset, row_number() OVER (ORDER BY (((i - 7) % n) + n) % n, o) AS priorit
     "range_backfill": "SELECT o_custkey, o_orderkey FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-12-31' ORDER BY o_custkey, o_orderkey, o_orderdate LIMIT 500",
     "latest_rates": f"SELECT DISTINCT ON (user_id) user_id, {_AT} AS at_ms, event_id FROM events ORDER BY user_id, ts DESC, event_id DESC",
     "jsonl_locators": f"WITH {_located(3)} SELECT event_ord, part, line_number, byte_offset, byte_length, 'sha256:' || sha256(line) AS content_sha256 FROM q",
+    "created_pointers": """WITH l AS (SELECT *, strftime(make_timestamp(fetched_at_ms * 1000), '%Y-%m-%d') AS dt, strftime(make_timestamp(fetched_at_ms * 1000), '%H') AS hour, '{"event_id":"' || event_id || '"}' AS line FROM raw_intel_event),
+n AS (SELECT *, row_number() OVER (PARTITION BY dt, hour, source_category, source_id, run_id ORDER BY event_ord) - 1 AS rn FROM l),
+p AS (SELECT *, rn // 1000 + 1 AS part FROM n)
+SELECT event_id, fetched_at_ms + 1 AS created_at_ms, content_hash, array_to_string(symbol_candidates, ',') AS symbols,
+'raw-intel-events/schema=raw_intel_event_v1/dt=' || dt || '/hour=' || hour || '/source_category=' || regexp_replace(source_category, '[^A-Za-z0-9._-]', '_', 'g') || '/source_id=' || regexp_replace(source_id, '[^A-Za-z0-9._-]', '_', 'g') || '/run_id=' || regexp_replace(run_id, '[^A-Za-z0-9._-]', '_', 'g') || '/part-' || lpad(part::VARCHAR, 6, '0') || '.jsonl' AS "key",
+rn % 1000 + 1 AS line_number, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY dt, hour, source_category, source_id, run_id, part ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_offset, 'sha256:' || sha256(line) AS content_sha256 FROM p""",
+    "coverage_diagnosis": """WITH x AS (SELECT a.asset, a.rss_seed_status = 'verified' AS focus, count(s.source_id) FILTER (s.enabled) AS ed, count(s.source_id) FILTER (NOT s.enabled AND s.source_state = 'available_disabled') AS dd
+  FROM universe_asset a LEFT JOIN intel_source s ON s.applies_mode = 'list' AND list_contains(s.applies_assets, a.asset) GROUP BY ALL),
+y AS (SELECT count(*) AS assets, count(*) FILTER (focus) AS focus_symbols, 0::BIGINT AS outside_universe, count(*) FILTER (focus AND ed > 0) AS focus_direct, count(*) FILTER (focus AND ed = 0 AND dd > 0) AS focus_available,
+  count(*) FILTER (focus AND ed = 0 AND dd = 0) AS focus_without_inventory, count(*) FILTER (ed = 0) AS assets_without_direct FROM x)
+SELECT *, CASE WHEN focus_symbols > 0 AND focus_direct = focus_symbols THEN 'PASS_CANDIDATE_GAP_DIAGNOSIS' WHEN focus_available > 0 THEN 'INSPECT_CANDIDATE_SOURCE_ACTIVATION_BLOCKERS'
+  WHEN focus_without_inventory > 0 THEN 'ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY' WHEN assets_without_direct > 0 THEN 'EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE' ELSE 'NO_SOURCE_COVERAGE_GAP_DETECTED' END AS verdict FROM y""",
     "partition_manifest": f"""WITH {_located(1000)}, o AS (SELECT dt || '/' || hour || '/' || source_category || '/' || source_id || '/' || part AS object_key, count(*) AS record_count, sum(byte_length + 1)::BIGINT AS byte_count FROM q GROUP BY 1)
 SELECT *, (SELECT count(*) FROM o) AS uploaded_object_count FROM o""",
     "outbox_replay": """SELECT event_id, CASE event_id % 11 WHEN 0 THEN 'blank' WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'missing_event_id' ELSE 'payload' END AS status, CASE WHEN event_id % 11 > 2 THEN 'e' || event_id END AS replayed_event_id FROM events""",

@@ -55,6 +55,11 @@ def dedup_decisions(spark: SparkSession, d: str) -> DataFrame:
     return decide(rows, "event_ord", "bits").withColumnRenamed("ord", "event_ord")
 
 
+def decisions_against_index(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "raw_intel_event").select("event_ord", "event_id", "dedup_key", "exact_source_key", "normalized_content_hash", simhash_of(F.col("simhash64")).alias("bits"))
+    return decide(rows, "event_ord", "bits", known=known(read(spark, d, "dedup_index_v2"))).withColumnRenamed("ord", "event_ord")
+
+
 def dedup_shards(spark: SparkSession, d: str) -> DataFrame:
     return shards(read(spark, d, "raw_intel_event")).select("event_ord", "hash_prefix")
 
@@ -128,7 +133,7 @@ def build_events_q(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "normalize_text": normalize_text_q, "content_fingerprint": content_fingerprint, "event_identity": event_identity, "simhash64": simhash, "near_duplicate_links": near_duplicate_links,
-    "first_of_kind": first_of_kind, "dedup_decisions": dedup_decisions, "dedup_shards": dedup_shards, "shard_pruned_lookup": shard_pruned_lookup, "known_index": known_index,
+    "first_of_kind": first_of_kind, "dedup_decisions": dedup_decisions, "decisions_against_index": decisions_against_index, "dedup_shards": dedup_shards, "shard_pruned_lookup": shard_pruned_lookup, "known_index": known_index,
     "canonical_url": canonical_url_q, "clean_html": clean_html, "page_title_summary": page_title_summary, "anchor_titles": anchor_titles, "url_forms": url_forms,
     "event_partitions": event_partitions_q, "written_zone_times": written_zone_times, "build_events": build_events_q,
 }
