@@ -5,7 +5,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidewire.llm.near_duplicates import _elements, WordHashes, all_pairs, most_differing, near_duplicates
+from tidewire.llm.near_duplicates import _elements, WordHashes, all_pairs, groups, most_differing, near_duplicates
 
 WORDS = [f"w{i}" for i in range(900)]
 
@@ -64,3 +64,18 @@ def test_elements_are_multiset_elements():
     first, second = set(h[:3].tolist()), set(h[3:].tolist())
     assert len(first) == 3 and len(second) == 4 and first <= second
     assert 20 < most_differing(0.75) < 40 and isinstance(most_differing(0.9), int) and np.isfinite(most_differing(1.0))
+
+
+def test_groups(spark):
+    rnd = random.Random(9)
+    base = [rnd.choice(WORDS) for _ in range(100)]
+    steps = [base]
+    for k in range(3):
+        steps.append(steps[-1][:])
+        for i in range(9):
+            steps[-1][k * 20 + i] = f"new{k}{i}"
+    rows = [(f"s{i}", i, " ".join(t)) for i, t in enumerate(steps)] + [("copy", 10, " ".join(reversed(base))), ("alone", 11, " ".join(rnd.choice(WORDS) for _ in range(80)))]
+    df = spark.createDataFrame(rows, "k string, o bigint, t string")
+    got = {r.k: (r.class_id, r.links) for r in groups(*near_duplicates(df, "k", "o", F.col("t")), "k").collect()}
+    assert {k: c for k, (c, _) in got.items()} == {"s0": 0, "s1": 0, "s2": 0, "s3": 0, "copy": 0, "alone": 11}
+    assert got["alone"][1] == 0 and got["copy"][1] == got["s0"][1] and got["s1"][1] == 2

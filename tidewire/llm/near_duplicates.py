@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.operators.decisions import components
 from tidewire.session import scratch
 
 _WORD = re.compile(r"[^\W_]+")
@@ -194,3 +195,13 @@ def all_pairs(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
     across = links.select(F.col("no_a").alias("rep_a"), F.col("no_b").alias("rep_b")).join(m("a"), "rep_a").join(m("b"), "rep_b")
     across = across.select(F.least("k_a", "k_b").alias("k_a"), F.greatest("k_a", "k_b").alias("k_b"))
     return copies.unionByName(across).select(F.col("k_a").alias(f"{key}_a"), F.col("k_b").alias(f"{key}_b"))
+
+
+def groups(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """`key`, class_id and links: one row per member. A class holds all that links and copies join, its id is the least number in
+    it; links counts the different texts that the member's text is linked to."""
+    both = links.select(F.col("no_a").alias("rep"), F.col("no_b").alias("o")).unionByName(links.select(F.col("no_b").alias("rep"), F.col("no_a").alias("o")))
+    degree = both.groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
+    label = components(links.select(F.col("no_a").alias("a"), F.col("no_b").alias("b"))).withColumnRenamed("node", "rep")
+    out = members.join(label, "rep", "left").join(degree, "rep", "left")
+    return out.select(key, F.coalesce("label", "rep").alias("class_id"), F.coalesce("links", F.lit(0).cast("bigint")).alias("links"))

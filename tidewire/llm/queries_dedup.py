@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm.history import filed, seen_before
-from tidewire.llm.near_duplicates import all_pairs, near_duplicates
+from tidewire.llm.near_duplicates import all_pairs, groups, near_duplicates
 from tidewire.llm.repeated_lines import repeated_lines, without_lines
 from tidewire.session import read
 
@@ -43,7 +43,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_pairs(members, links, "event_id")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p5_found": p5_found, "p5_clean_bodies": p5_clean_bodies}
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups(*_stories(spark, sf_dir), "event_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p5_found": p5_found, "p5_clean_bodies": p5_clean_bodies}
 
 _BARE = "lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g'))"
 _HEX = f"regexp_replace({_BARE}, '^((sha256:)|(0x))?0*', '')"
