@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.history import filed, seen_before
 from tidewire.llm.near_duplicates import all_pairs, groups, near_duplicates
 from tidewire.llm.repeated_lines import repeated_lines, without_lines
-from tidewire.session import read
+from tidewire.session import read, spread
 
 _HASHES = ("normalized_content_hash", "canonical_url_hash", "simhash64")
 
@@ -35,7 +35,7 @@ def p5_clean_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = read(spark, sf_dir, "raw_intel_event").where("source_category <> 'funding' or source_category is null").select("event_id", "event_ord", "title", "body")
-    return near_duplicates(rows, "event_id", "event_ord", F.concat_ws("\n", "title", "body"))
+    return near_duplicates(spread(rows), "event_id", "event_ord", F.concat_ws("\n", "title", "body"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

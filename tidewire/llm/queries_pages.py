@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.page_content import one_row, template_lines
 from tidewire.llm.reading_level import learn, reading_levels
 from tidewire.llm.repeated_lines import without_lines
-from tidewire.session import read
+from tidewire.session import read, spread
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def p3_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     grader = learn(docs, "doc_id", "text", "source", read(spark, sf_dir, "reading_label"), "doc_id", "reading_level")
     return reading_levels(docs, "doc_id", "text", grader)
 

@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.byte_bpe import encode_texts
 from tidewire.llm.leakage import leaks
-from tidewire.session import read
+from tidewire.session import read, spread
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_texts(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return encode_texts(spread(read(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(read(spark, sf_dir, "documents"), "doc_id", "text", read(spark, sf_dir, "eval_item"), "item_id", "text")
+    return leaks(spread(read(spark, sf_dir, "documents").select("doc_id", "text")), "doc_id", "text", read(spark, sf_dir, "eval_item"), "item_id", "text")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
