@@ -47,12 +47,11 @@ def components(links: DataFrame, rounds: int = 30) -> DataFrame:
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), eager=True)
     for _ in range(rounds):
         around = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
-        step = labels.join(around, "node", "left").select("node", F.least("label", F.coalesce("low", "label")).alias("label"))
+        step = labels.join(around, "node", "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("low", "label")).alias("label"))
         up = step.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        new = cut(step.join(up, "label", "left").select("node", F.coalesce("top", "label").alias("label")), eager=True)
-        changed = new.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was").limit(1).count()
-        labels = new
-        if not changed:
+        new = cut(step.join(up, "label", "left").select("node", "was", F.coalesce("top", "label").alias("label")), eager=True)
+        labels = new.select("node", "label")
+        if new.where("label <> was").isEmpty():
             return labels
     raise RuntimeError("components did not close")
 

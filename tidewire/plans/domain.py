@@ -16,12 +16,12 @@ from tidewire.sources.index import known
 from tidewire.sources.layout import event_partitions, locate, manifest, replay
 from tidewire.sources.payloads import announcements, in_range, latest_per_key, rich_text_column
 from tidewire.sources.pointers import created_pointers
-from tidewire.session import read
+from tidewire.session import read, spread
 
 
 def symbol_match(spark: SparkSession, d: str) -> DataFrame:
     match = symbol_matcher(read(spark, d, "universe_asset"))
-    return read(spark, d, "raw_intel_event").select("event_ord", F.array_join(match(haystack(F.col("title"), F.col("body"), F.col("url"))), ",").alias("assets"))
+    return spread(read(spark, d, "raw_intel_event").select("event_ord", "title", "body", "url")).select("event_ord", F.array_join(match(haystack(F.col("title"), F.col("body"), F.col("url"))), ",").alias("assets"))
 
 
 def event_classification(spark: SparkSession, d: str) -> DataFrame:

@@ -13,7 +13,7 @@ from tidewire.operators.decisions import decide, near_links
 from tidewire.operators.events import build_events, fingerprint
 from tidewire.sources.index import known, pruned, simhash_of
 from tidewire.sources.layout import shards
-from tidewire.session import read
+from tidewire.session import read, spread
 
 
 def normalize_text_q(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +35,7 @@ def event_identity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "raw_intel_event").select("event_ord", simhash_hex(simhash64(normalize_text(_title_body()))).alias("simhash"))
+    return spread(read(spark, d, "raw_intel_event").select("event_ord", "title", "body")).select("event_ord", simhash_hex(simhash64(normalize_text(_title_body()))).alias("simhash"))
 
 
 def near_duplicate_links(spark: SparkSession, d: str) -> DataFrame:

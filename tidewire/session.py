@@ -20,6 +20,7 @@ def build_session(app: str = "tidewire", cpus: str | int = "*", memory: str = "8
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -56,6 +57,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan (no shuffle below it) that gives fewer tasks than there are cores, as small files of one row group do, is spread over
+    all of them before costly Python work. Larger inputs are left as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan._jdf.queryExecution().toRdd().getNumPartitions() < cores else scan
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the Python workers this package, once per session: a zip of its sources in the shared folder."""
     sc = spark.sparkContext
