@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tidewire.functions.text import clean_html_text, visible_text
 
 #: Anchor titles that are navigation, and file endings of assets.
-NAVIGATION = frozenset(
-    "ABOUT|ABOUT US|APP|BLOG|CAREERS|CONTACT|CONTACT US|COOKIE POLICY|DISCORD|DOCS|DOCUMENTATION|GITHUB|GET STARTED|HOME|LAUNCH APP|LEARN MORE|LOGIN|MEDIUM|MENU|NEWS|PRIVACY|PRIVACY POLICY|READ MORE|SIGN IN|TELEGRAM|TERMS|TERMS OF SERVICE|TWITTER|X".split("|")
-)
+NAVIGATION = (
+    "ABOUT", "ABOUT US", "APP", "BLOG", "CAREERS", "CONTACT", "CONTACT US", "COOKIE POLICY", "DISCORD", "DOCS", "DOCUMENTATION", "GITHUB", "GET STARTED", "HOME", "LAUNCH APP", "LEARN MORE",
+    "LOGIN", "MEDIUM", "MENU", "NEWS", "PRIVACY", "PRIVACY POLICY", "READ MORE", "SIGN IN", "TELEGRAM", "TERMS", "TERMS OF SERVICE", "TWITTER", "X",
+)
 ASSETS = ("avif", "css", "gif", "ico", "jpeg", "jpg", "js", "png", "svg", "webp")
 ACTION_MARKERS = ("how to buy", "where to buy", "buy now", "start trading")
 WINDOW, LEAST, MOST, TITLE = 2000, 40, 1200, 8

@@ -175,13 +175,16 @@ def to_instants(df: DataFrame, text: str, zone: str, day_first: str | None, out:
     As-of join of local times to zone-offset intervals: each row meets the intervals of its zone and local year; two that hold
     the local time make it ambiguous (the first passage is taken), none makes it nonexistent (not determinable), one gives the
     offset. A date alone is the first instant of that day. Null or blank texts, unknown notations and unknown written zones give
-    null, as do local times whose zone is null or unknown. Status: number, offset, local, ambiguous, nonexistent, unknown.
+    null, as do local times whose zone is null or unknown. Columns of those names are replaced, all others kept. Status: number, offset, local, ambiguous, nonexistent, unknown.
     """
-    parsed = parse_notation(df, text, F.col(day_first) if day_first else F.lit(False))
+    # the row travels as one struct, so that no helper can clash with its columns
+    kept = [c for c in df.columns if c not in (out, f"{out}_status")]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row"), F.col(text).alias("__text"), F.col(zone).alias("__in"), (F.col(day_first) if day_first else F.lit(False)).alias("__first"))
+    parsed = parse_notation(rows, "__text", F.col("__first"))
     spans = zone_intervals(df.select(F.col(zone).alias("__zone")))
     local = F.col("__local_s")
     parsed = parsed.withColumns({
-        "__z": F.when(F.col("__offset_s").isNull() & ~F.col("__bad_zone") & local.isNotNull(), F.col(zone)),
+        "__z": F.when(F.col("__offset_s").isNull() & ~F.col("__bad_zone") & local.isNotNull(), F.col("__in")),
         "__year_of": F.year(F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(__local_s as decimal(18,6)))")),
     })
     joined = parsed.join(F.broadcast(spans), (F.col("__z") == F.col("__zone")) & (F.col("__year_of") == F.col("__year")), "left")
@@ -197,8 +200,8 @@ def to_instants(df: DataFrame, text: str, zone: str, day_first: str | None, out:
         .when((n > 1) & (F.col("__span") == 1), "ambiguous")
         .otherwise("local")
     )
-    helpers = [c for c in [*joined.columns, "__held"] if c.startswith("__") and c not in df.columns]
-    return joined.withColumn("__held", holds).withColumns({out: ms, f"{out}_status": status}).drop(*helpers)
+    done = joined.withColumn("__held", holds).select("__row", ms.alias("__out"), status.alias("__status"))
+    return done.select(*[F.col(f"__row.`{c}`").alias(c) for c in kept], F.col("__out").alias(out), F.col("__status").alias(f"{out}_status"))
 
 
 def instants_of(spark: SparkSession, rows: list[tuple], zone: str | None = "UTC", day_first: bool = False) -> list:
