@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 PHRASE = 8
 SHARD_WORDS = 1 << 19
@@ -193,7 +192,7 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, ite
     """`key`, item_id, held_words, item_words and spans (merged word ranges of the document, for removal) of every document that holds
     a run of at least 8 consecutive words of an item; held_words counts the item's words in such runs, each once.
 
-    Items are searched in blocks of block_items, each block one pass over the corpus, so what is sent to the workers is bounded.
+    Items are searched in blocks of about block_items, each block one pass over the corpus, so what is sent to the workers is bounded.
     Null and blank texts, and items under 8 words, have no phrases; several rows of one key give a row each.
     """
     spark = docs.sparkSession
@@ -203,7 +202,7 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, ite
     schema = f"`doc` {kind}, item_id bigint, held_words int, item_words int, spans array<struct<from_word:int,to_word:int>>"
     total, out = chosen.count(), None
     blocks = -(-total // block_items)
-    ranked = chosen.withColumn("b", F.floor((F.row_number().over(Window.orderBy("i")) - 1) / block_items)) if blocks > 1 else chosen.withColumn("b", F.lit(0))
+    ranked = chosen.withColumn("b", F.pmod(F.xxhash64("i"), F.lit(max(1, blocks))))
     for b in range(blocks):
         phrases = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in ranked.where(F.col("b") == b).collect()]))
         found = corpus.mapInArrow(lambda it, p=phrases: _search(it, p.value, shard_words), schema)

@@ -65,7 +65,7 @@ ev AS (SELECT event_id, any_value(source_id) AS source_id, any_value(body) AS bo
 ln AS (SELECT event_id, source_id, unnest(string_split(body, chr(10))) AS line, unnest(range(1, len(string_split(body, chr(10))) + 1)) AS line_no FROM ev),
 k AS (SELECT event_id, source_id, line_no, lower(regexp_replace(line, '[^\\p{L}]+', '', 'g')) AS key FROM ln),
 often AS (SELECT source_id, key FROM k WHERE key <> '' GROUP BY ALL HAVING count(DISTINCT event_id) >= 5),
-hit AS (SELECT event_id, line_no::BIGINT AS line_no FROM k JOIN often USING (source_id, key))"""
+hit AS (SELECT event_id, line_no::INTEGER AS line_no FROM k JOIN often USING (source_id, key))"""
 
 SQL = {
     "p2_found": f"""WITH ev AS (SELECT event_id, {_norm('normalized_content_hash')} AS c, {_norm('canonical_url_hash')} AS u, {_norm('simhash64')} AS s FROM raw_intel_event),
