@@ -224,6 +224,21 @@ array_to_string(list_filter([CASE WHEN coalesce(enabled_direct, 0) = 0 THEN 'mis
   CASE WHEN coalesce(disabled_direct, 0) + coalesce(disabled_global, 0) = 0 AND coalesce(social, 0) = 0 THEN 'missing_community_reaction_inventory' END, CASE WHEN coalesce(news, 0) = 0 THEN 'missing_global_news_source' END], lambda v: v IS NOT NULL), ',') AS gaps
 FROM universe_asset a LEFT JOIN g USING (asset) LEFT JOIN h USING (asset)""",
     "category_histogram": "SELECT source_category, count(*) AS n FROM raw_intel_event GROUP BY 1",
+    "registry_violations": """WITH s AS (SELECT *, coalesce(source_id, '') AS subject FROM intel_source), r AS (SELECT subject, unnest([
+CASE WHEN coalesce(trim(source_id), '') = '' THEN 'blank_source_id' END, CASE WHEN coalesce(source_category, '') NOT IN ('news', 'exchange_notice', 'funding', 'project_notice', 'social', 'governance', 'developer_activity') THEN 'unknown_category' END,
+CASE WHEN coalesce(trust_tier, '') NOT IN ('T0', 'T1', 'T2') THEN 'unknown_trust_tier' END, CASE WHEN coalesce(cadence_tier, '') NOT IN ('high', 'medium', 'low') THEN 'unknown_cadence' END,
+CASE WHEN coalesce(top50_relevance_mode, '') NOT IN ('symbol_alias_match', 'direct_asset') THEN 'unknown_mode' END, CASE WHEN source_state NOT IN ('enabled', 'available_disabled', 'blocked', 'unsupported') THEN 'unknown_state' END,
+CASE WHEN source_state IS NOT NULL AND enabled <> (source_state = 'enabled') THEN 'state_not_aligned' END, CASE WHEN source_state IS NOT NULL AND NOT enabled AND coalesce(trim(activation_blocker), '') = '' THEN 'disabled_without_blocker' END,
+CASE WHEN enabled AND coalesce(fetch_method, '') NOT IN ('rss', 'rest_api', 'html_crawl') THEN 'unfetchable' END, CASE WHEN enabled AND fetch_method = 'rest_api' AND coalesce(trim(adapter), '') = '' THEN 'rest_without_adapter' END,
+CASE WHEN max_items_per_run = 0 THEN 'zero_items' END, CASE WHEN coalesce(source_url, '') NOT LIKE 'https://%' THEN 'not_https' END,
+CASE WHEN applies_mode = 'all_major_50' AND top50_relevance_mode <> 'symbol_alias_match' THEN 'all_not_by_alias' END,
+CASE WHEN applies_mode = 'list' AND (coalesce(len(applies_assets), 0) < 1 OR top50_relevance_mode <> 'direct_asset') THEN 'list_not_direct' END]) AS rule FROM s)
+SELECT rule, subject FROM r WHERE rule IS NOT NULL
+UNION ALL SELECT 'source_id_twice', source_id FROM intel_source WHERE source_id IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'asset_twice', asset FROM universe_asset WHERE asset IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'symbol_twice', reference_symbol_native FROM universe_asset WHERE reference_symbol_native IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'asset_not_in_universe', a FROM (SELECT unnest(applies_assets) AS a FROM intel_source WHERE enabled AND applies_mode = 'list') WHERE a NOT IN (SELECT asset FROM universe_asset WHERE asset IS NOT NULL)
+UNION ALL SELECT 'blank_asset', '' FROM universe_asset WHERE coalesce(trim(asset), '') = ''""",
     "failure_backoff": f"""WITH x AS (SELECT event_id, user_id, {_AT} AS t, event_type = 'error' AS f FROM events),
 y AS (SELECT *, sum((NOT f)::INT) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS g FROM x),
 z AS (SELECT *, sum(f::INT) OVER (PARTITION BY user_id, g ORDER BY t, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS failure_count FROM y)

@@ -216,6 +216,28 @@ UNION ALL SELECT item_key, CASE WHEN length(t) >= 8 THEN 1 ELSE 0 END, 'All the
 source_url || CASE WHEN contains(source_url, '?') THEN '&' ELSE '?' END || 'symbol=' || source_id || '&limit=1' AS queried, regexp_replace(source_name, '[^A-Za-z0-9._-]', '_', 'g') AS segment,
 list_reduce(list_concat([0::UHUGEINT], list_transform(string_split(source_id, ''), lambda c: ascii(c)::UHUGEINT)), lambda a, b: (a * 31 + b) % 18446744073709551616)::VARCHAR AS "offset",
 regexp_replace(upper(source_id), '[^A-Z0-9]', '', 'g') AS symbol FROM intel_source""",
+    "page_title_summary": f"""WITH {_ITEMS}, p AS (SELECT item_key, {_PAGE} AS page FROM items),
+v AS (SELECT item_key, coalesce(nullif({sql_squeeze(sql_decode(sql_clean("regexp_extract(page, '(?s)<title[^>]*>(.*?)</title>', 1)")))}, ''), 'untitled') AS page_title, regexp_extract(page, '(?s)<body[^>]*>(.*?)</body>', 1) AS inside FROM p),
+w AS (SELECT item_key, page_title, {_visible('inside')} AS vis FROM v),
+r AS (SELECT *, trim(CASE WHEN starts_with(vis, page_title) THEN substr(vis, length(page_title) + 1) ELSE vis END, '-|:· ' || chr(9) || chr(10)) AS rest FROM w),
+c AS (SELECT *, CASE WHEN length(rest) >= 40 THEN rest WHEN vis <> page_title AND length(vis) >= 40 THEN vis ELSE '' END AS chosen FROM r),
+k AS (SELECT *, list_min(list_filter(list_transform(['how to buy', 'where to buy', 'buy now', 'start trading'], lambda m: instr(lower(chosen), m)), lambda x: x - 1 >= 40)) AS pos FROM c),
+t AS (SELECT *, trim(CASE WHEN pos IS NOT NULL THEN left(chosen, pos - 1) ELSE chosen END) AS text FROM k)
+SELECT item_key, page_title, CASE WHEN text = '' THEN NULL WHEN length(text) <= 1200 THEN text ELSE left(text, 1200) || '...' END AS summary FROM t""",
+    "build_events": f"""WITH {_ITEMS}, a AS (SELECT i.item_key, i.id, {sql_squeeze(sql_clean("coalesce(i.title, '')"))} AS t, {sql_squeeze(sql_clean("coalesce(i.body, '')"))} AS b, coalesce(i.url, '') AS url, s.* EXCLUDE (adapter) FROM items i JOIN intel_source s USING (source_id)),
+f AS (SELECT *, {sql_canonical('url')} AS cu, sha256({sql_norm('t || chr(10) || b')}) AS nh FROM a),
+g AS (SELECT *, CASE WHEN trim(id) <> '' THEN id ELSE cu END AS basis FROM f),
+k AS (SELECT *, sha256(source_id || ':' || {sql_norm('basis')}) AS exact_source_key FROM g),
+u AS (SELECT asset, upper(asset) AS x, upper(reference_symbol_native) AS r FROM universe_asset),
+al AS (SELECT asset, unnest([CASE WHEN x NOT IN ('BIO','CHIP','DASH','DOGS','HIVE','MEGA','NEAR','NOT','TON','TRUMP') THEN x END, r, replace(r, 'USDT', '-USDT'), '$' || x, '(' || x || ')', '[' || x || ']']) AS alias FROM u),
+h AS (SELECT item_key, upper(t || chr(10) || b || chr(10) || url) AS hay FROM a),
+m AS (SELECT item_key, asset FROM h JOIN al ON strlen(alias) >= 3 AND contains(hay, alias) AND regexp_matches(hay, '(^|[^0-9A-Z])' || regexp_escape(alias) || '([^0-9A-Z]|$)')
+  UNION SELECT item_key, unnest(applies_assets) FROM a WHERE applies_mode = 'list'),
+y AS (SELECT item_key, string_agg(asset, ',' ORDER BY asset) AS symbols FROM m GROUP BY 1)
+SELECT item_key, 'intel_evt_' || left(sha256(source_id || ':' || exact_source_key || ':' || nh), 24) AS event_id, exact_source_key, sha256(nh || chr(10) || sha256(cu)) AS content_hash,
+CASE WHEN source_category = 'funding' THEN 'numeric_observation' WHEN trim(b) = '' THEN 'title_only' WHEN trim(b) LIKE '{{%' AND trim(b) LIKE '%}}' THEN 'metadata_fallback' WHEN length(trim(b)) < 120 THEN 'short_text' ELSE 'full_text' END AS content_quality,
+CASE source_category WHEN 'governance' THEN 'governance_update' WHEN 'social' THEN 'community_reaction' WHEN 'news' THEN 'news_article' WHEN 'funding' THEN 'derivatives_snapshot' WHEN 'developer_activity' THEN source_category WHEN 'project_notice' THEN source_category WHEN 'exchange_notice' THEN source_category ELSE 'raw_intel_observation' END AS content_kind,
+coalesce(symbols, '') AS symbols FROM k LEFT JOIN y USING (item_key)""",
     "event_partitions": """SELECT strftime(make_timestamp(fetched_at_ms * 1000), '%Y-%m-%d') AS dt, strftime(make_timestamp(fetched_at_ms * 1000), '%H') AS hour, source_id, count(*) AS events FROM raw_intel_event GROUP BY ALL""",
     "written_zone_times": f"""WITH {_ITEMS}, x AS (SELECT item_key, published_at AS p FROM items WHERE published_at IS NOT NULL)
 SELECT item_key, p::BIGINT AS published_at_ms FROM x WHERE regexp_full_match(p, '[+-]?\\d{{1,18}}')
