@@ -21,13 +21,14 @@ ARRANGEMENTS = list(itertools.combinations(range(len(BLOCKS)), 2))
 MAX_BITS = len(BLOCKS) - 2
 
 
+_NUMBER = r"^[\p{IsWhite_Space}\"']*(?:[a-z][a-z0-9]*(?:-\d+)?[:=]\s*)?(?:0x|\\x)?(?=[0-9a-f])0*([0-9a-f]*)h?[\p{IsWhite_Space}\"']*$"
+
+
 def hex_number(text: Column) -> Column:
     """The hexadecimal number a text denotes, lower-case without leading zeros ("0" for zero); null if it denotes none. White space
-    around it, case, a prefix 0x or the name of a hash with a colon or equals sign, and one pair of quotes are notation."""
-    t = F.lower(F.regexp_replace(text, r"^[\p{IsWhite_Space}\"']+|[\p{IsWhite_Space}\"']+$", ""))
-    t = F.regexp_replace(t, r"^(?:[a-z][a-z0-9]*(?:-\d+)?[:=]\s*)?(?:0x|\\x)?", "")
-    digits = F.when(t.rlike(r"^[0-9a-f]+h?$"), F.regexp_replace(t, r"h$", ""))
-    return F.when(digits.rlike("^0+$"), F.lit("0")).otherwise(F.regexp_replace(digits, "^0+", ""))
+    around it, case, a prefix 0x or the name of a hash with a colon or equals sign, and quotes are notation."""
+    marked = F.regexp_replace(F.lower(text), _NUMBER, "\u0001$1")  # a text that is no number stays as it is
+    return F.when(marked == "\u0001", "0").when(marked.rlike("^\u0001[0-9a-f]+$"), F.substr(marked, F.lit(2)))
 
 
 def simhash_bits(text: Column) -> Column:
@@ -50,9 +51,9 @@ def arranged(bits: Column) -> Column:
 def filed(df: DataFrame, content: str, url: str, simhash: str) -> tuple[DataFrame, DataFrame]:
     """The distinct values of a batch or history: (kind, value) of its hashes, and bits of its simhashes. However often a value
     occurs it is filed once."""
-    c, u = hex_number(F.col(content)), hex_number(F.col(url))
-    pairs = F.array(F.struct(F.lit("c").alias("kind"), F.when(c != EMPTY_SHA256, c).alias("value")), F.struct(F.lit("u").alias("kind"), u.alias("value")))
-    hashes = df.select(F.explode(pairs).alias("p")).select("p.kind", "p.value").where("value is not null").distinct()
+    read = df.select(hex_number(F.col(content)).alias("c"), hex_number(F.col(url)).alias("u"))
+    pairs = F.array(F.struct(F.lit("c").alias("kind"), F.nullif("c", F.lit(EMPTY_SHA256)).alias("value")), F.struct(F.lit("u").alias("kind"), F.col("u").alias("value")))
+    hashes = read.select(F.explode(pairs).alias("p")).select("p.kind", "p.value").where("value is not null").distinct()
     return hashes, df.select(simhash_bits(F.col(simhash)).alias("bits")).where("bits is not null").distinct()
 
 
@@ -74,12 +75,10 @@ def seen_before(batch: DataFrame, key: str, old_hashes: DataFrame, old_bits: Dat
     near = near_bits(bits, old_bits, max_bits).select(F.lit("s").alias("kind"), F.col("bits").cast("string").alias("value"))
     # values that a great many rows share are met by salted copies of the few that matched
     matched = known.unionByName(near).withColumn("__salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    c = hex_number(F.col(content))
-    own = F.array(
-        F.struct(F.lit("c").alias("kind"), F.when(c != EMPTY_SHA256, c).alias("value")), F.struct(F.lit("u").alias("kind"), hex_number(F.col(url)).alias("value")),
-        F.struct(F.lit("s").alias("kind"), simhash_bits(F.col(simhash)).cast("string").alias("value")),
-    )
-    rows = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.explode(own).alias("p")).select("__key", "p.kind", "p.value").where("value is not null")
+    read = batch.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), hex_number(F.col(content)).alias("c"), hex_number(F.col(url)).alias("u"), simhash_bits(F.col(simhash)).cast("string").alias("s"))
+    values = {"c": F.nullif("c", F.lit(EMPTY_SHA256)), "u": F.col("u"), "s": F.col("s")}
+    own = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("value")) for k, v in values.items()])
+    rows = read.select("__key", F.explode(own).alias("p")).select("__key", "p.kind", "p.value").where("value is not null")
     rows = rows.withColumn("__salt", F.pmod(F.xxhash64("__key"), F.lit(salts)).cast("int"))
     return rows.join(matched, ["kind", "value", "__salt"], "left_semi").select(F.col("__key").alias(key)).distinct()
 
