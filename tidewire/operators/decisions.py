@@ -7,6 +7,8 @@ decided in order by itself; events without a link, nearly all, are decided by ex
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,40 +58,50 @@ def components(links: DataFrame, rounds: int = 30) -> DataFrame:
     raise RuntimeError("components did not close")
 
 
-def _decide(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Events of one component in order, after the known records among them."""
-    keys, by_source, by_content, kept = set(), {}, {}, []
+class _Store:
+    """What is known while one component is decided."""
+
+    def __init__(self) -> None:
+        self.keys, self.by_source, self.by_content, self.kept = set(), {}, {}, []
 
-    def keep(r) -> None:
-        keys.add(r.dedup_key)
+    def keep(self, r) -> None:
+        self.keys.add(r.dedup_key)
         if r.event_id is not None:
             if r.exact_source_key is not None:
-                by_source[r.exact_source_key] = (r.event_id, r.content)
+                self.by_source[r.exact_source_key] = (r.event_id, r.content)
             if r.content is not None:
-                by_content[r.content] = r.event_id
+                self.by_content[r.content] = r.event_id
             if r.bits:
-                kept.append((r.event_id, r.bits))
-
-    out = []
-    for r in pdf.sort_values(["fresh", "at", "ord"]).itertuples():
-        if not r.fresh:
-            keep(r)
-            continue
-        decision, of = "new", None
-        if r.dedup_key in keys:
-            decision = "exact_duplicate"
-        elif r.exact_source_key in by_source:
-            was, content = by_source[r.exact_source_key]
-            decision, of = ("exact_duplicate" if content == r.content else "update_of_existing"), was
-        elif r.content in by_content:
-            decision, of = "content_duplicate", by_content[r.content]
-        elif r.bits:
-            of = next((i for i, b in kept if ((b ^ r.bits) & 0xFFFFFFFFFFFFFFFF).bit_count() <= MAX_BITS), None)
-            decision = "near_duplicate" if of else "new"
-        out.append((r.ord, decision, of))
-        if decision in ("new", "update_of_existing"):
-            keep(r)
-    return pd.DataFrame(out, columns=["ord", "dedup_decision", "duplicate_of_event_id"])
+                self.kept.append((r.event_id, r.bits))
+
+    def decide(self, r) -> tuple[str, str | None]:
+        if r.dedup_key in self.keys:
+            return "exact_duplicate", None
+        if r.exact_source_key in self.by_source:
+            was, content = self.by_source[r.exact_source_key]
+            return ("exact_duplicate" if content == r.content else "update_of_existing"), was
+        if r.content in self.by_content:
+            return "content_duplicate", self.by_content[r.content]
+        near = next((i for i, b in self.kept if ((b ^ r.bits) & 0xFFFFFFFFFFFFFFFF).bit_count() <= MAX_BITS), None) if r.bits else None
+        return ("near_duplicate", near) if near else ("new", None)
+
+
+def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by component, known records first, then order: streamed, so that a task holds what a component kept, not its rows."""
+    label, store = None, _Store()
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples():
+            if r.label != label:
+                label, store = r.label, _Store()
+            if not r.fresh:
+                store.keep(r)
+                continue
+            decision, of = store.decide(r)
+            out.append((r.ord, decision, of))
+            if decision in ("new", "update_of_existing"):
+                store.keep(r)
+        yield pd.DataFrame(out, columns=["ord", "dedup_decision", "duplicate_of_event_id"])
 
 
 _KEYS = ("event_id", "dedup_key", "exact_source_key", "content", "bits")
@@ -126,7 +138,8 @@ def decide(events: DataFrame, ord_: str, bits: str, content: str = "normalized_c
     links = star_links(rows, "dedup_key").unionByName(star_links(rows, "exact_source_key")).unionByName(star_links(rows, "content")).unionByName(near_links(rows)).distinct()
     label = components(links)
     tied = rows.join(label, rows["ord"] == label["node"]).drop("node")
-    done = tied.groupBy("label").applyInPandas(_decide, "ord bigint, dedup_decision string, duplicate_of_event_id string")
+    ordered = tied.repartition("label").sortWithinPartitions("label", "fresh", "at", "ord")
+    done = ordered.mapInPandas(_decide, "ord bigint, dedup_decision string, duplicate_of_event_id string")
     free = rows.where("fresh").join(label, rows["ord"] == label["node"], "left_anti").select("ord", F.lit("new").alias("dedup_decision"), F.lit(None).cast("string").alias("duplicate_of_event_id"))
     return done.unionByName(free)
 

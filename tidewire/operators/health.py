@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,19 +31,23 @@ def cadence_ms(tier: Column) -> Column:
 
 def cadence_admitted(attempts: DataFrame, key: str, at_ms: str, interval_ms: int) -> DataFrame:
     """key, at_ms and admitted: an attempt is admitted when none was within interval_ms before it. This depends on the last admitted
-    one, so each source's attempts are folded in order; only their times travel, in blocks that carry the last admitted time."""
+    one, so attempts stream by in order of source and time, and a task only holds the time last admitted."""
     schema = f"`{key}` {attempts.schema[key].dataType.simpleString()}, `{at_ms}` bigint, admitted boolean"
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(at_ms)
-        last, out = None, []
-        for t in pdf[at_ms]:
-            ok = last is None or t >= last + interval_ms
-            last = t if ok else last
-            out.append(ok)
-        return pdf.assign(admitted=out)[[key, at_ms, "admitted"]]
-
-    return attempts.select(key, at_ms).where(F.col(at_ms).isNotNull()).groupBy(key).applyInPandas(fold, schema)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        source, last = object(), None
+        for pdf in batches:
+            out = []
+            for s, t in zip(pdf[key], pdf[at_ms]):
+                if s != source:
+                    source, last = s, None
+                ok = last is None or t >= last + interval_ms
+                last = t if ok else last
+                out.append(ok)
+            yield pdf.assign(admitted=out)[[key, at_ms, "admitted"]]
+
+    rows = attempts.select(key, at_ms).where(F.col(key).isNotNull() & F.col(at_ms).isNotNull())
+    return rows.repartition(key).sortWithinPartitions(key, at_ms).mapInPandas(fold, schema)
 
 
 def failure_type(error: Column) -> Column:
