@@ -118,6 +118,48 @@ def parse_notation(df: DataFrame, text: str, day_first: Column) -> DataFrame:
     )
 
 
+_WS = r"[\p{IsWhite_Space}]"
+_COMMENT = r"\((?:[^()\\]|\\.)*\)"
+for _ in range(3):  # comments within comments, to this depth
+    _COMMENT = rf"\((?:[^()\\]|\\.|{_COMMENT})*\)"
+#: What the two standards write, as "weekday|day|month|year|hour|minute|second|fraction|zone".
+RFC_2822 = (
+    rf"(?is)^{_WS}*(?:(sun|mon|tue|wed|thu|fri|sat),)?{_WS}*(\d{{1,2}}){_WS}+({MONTHS['en3'].replace(' ', '|')}){_WS}+(\d{{2,6}}){_WS}+(\d{{2}}){_WS}*:{_WS}*(\d{{2}})(?:{_WS}*:{_WS}*(\d{{2}}))?"
+    rf"{_WS}+(gmt|ut|[ecmp][sd]t|[a-ik-z]|[+-]\d{{4}})(?:{_WS}*{_COMMENT})*\z"
+)
+RFC_3339 = r"^(\d{4})-(\d{2})-(\d{2})[Tt ](\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,9})\d*)?([Zz]|[+\-\x{2212}]\d{2}:\d{2})\z"
+_LAST_YEAR = 262_142
+
+
+def parse_published_at_ms(text: Column) -> Column:
+    """Epoch milliseconds (rounded down) of a text that is a 64-bit integer (milliseconds as they stand), else an RFC 2822 time,
+    else an RFC 3339 time; else null. Nothing is trimmed but white space before an RFC 2822 time, a weekday must be that of the
+    date, and a second 60 counts on into the next minute."""
+    canon = F.when(text.rlike(RFC_2822), F.lower(F.regexp_replace(text, RFC_2822, "$1|$2|$3|$4|$5|$6|$7||$8"))).when(text.rlike(RFC_3339), F.lower(F.regexp_replace(text, RFC_3339, "|$3|$2|$1|$4|$5|$6|$7|$8")))
+
+    def instant(parts: Column) -> Column:
+        part = lambda i: F.nullif(F.get(parts, F.lit(i)), F.lit(""))
+        num = lambda i: part(i).try_cast("int")
+        months = {n: k for k, n in enumerate(MONTHS["en3"].split(), 1)} | {f"{k:02d}": k for k in range(1, 13)}
+        digits = F.length(part(3))
+        year = num(3) + F.when((digits == 2) & (num(3) < 50), 2000).when(digits < 4, 1900).otherwise(0)
+        second = F.coalesce(num(6), F.lit(0))
+        wall = F.try_make_timestamp_ntz(F.when(year <= _LAST_YEAR, year), F.try_element_at(_literal_map(months), part(2)), num(1), num(4), num(5), F.least(second, F.lit(59)).cast("decimal(16,6)"))
+        weekday = F.try_element_at(_literal_map({d: k for k, d in enumerate("sun mon tue wed thu fri sat".split(), 1)}), part(0))
+        zone = part(8)
+        hours, minutes = F.substring(zone, 2, 2).try_cast("int"), F.right(zone, F.lit(2)).try_cast("int")
+        written = F.when((hours < 24) & (minutes < 60), F.when(zone.startswith("+"), 1).otherwise(-1) * (hours * 60 + minutes))
+        named = _literal_map({z.lower(): m for z, m in ZONE_MINUTES.items() if z in ("EST", "EDT", "CST", "CDT", "MST", "MDT", "PST", "PDT")})
+        offset = F.when(F.length(zone) >= 5, written).otherwise(F.coalesce(F.try_element_at(named, zone), F.lit(0)))
+        whole = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), wall) + second - F.least(second, F.lit(59)) - offset * 60
+        right = (second <= 60) & (weekday.isNull() | (weekday == F.dayofweek(wall)))
+        return F.when(right, whole * 1000 + F.coalesce(F.left(F.rpad(part(7), 3, "0"), F.lit(3)).try_cast("int"), F.lit(0)))
+
+    # as a variable of transform the parts are made once, and not again for each use
+    ms = F.get(F.transform(F.array(F.split(canon, r"\|")), instant), F.lit(0))
+    return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint")).otherwise(ms)
+
+
 def _intervals_of(zone: str, first_year: int, last_year: int) -> list[tuple[int, int, int]]:
     """(from, to, offset) in UTC seconds over the years, found by bisection between days of differing offset."""
     from datetime import datetime, timedelta, timezone

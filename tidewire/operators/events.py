@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.functions.instants import parse_published_at_ms
 from tidewire.functions.text import clean_text, hash_hex, normalize_text, short_hash, simhash64, simhash_hex
 from tidewire.functions.urls import canonical_url
 from tidewire.operators.symbols import haystack, symbol_matcher
@@ -89,10 +90,14 @@ def identity(df: DataFrame) -> DataFrame:
     return df.withColumn("event_id", F.concat(F.lit("intel_evt_"), short_hash(F.col("dedup_key"))))
 
 
-def build_events(items: DataFrame, sources: DataFrame, universe: DataFrame) -> DataFrame:
+def build_events(items: DataFrame, sources: DataFrame, universe: DataFrame, fetched_at_ms: Column | int | None = None) -> DataFrame:
     """One event per feed item of a known source. Title and body lose their tags before they are hashed and matched; the sources
-    are a registry, joined by their id. Items of unknown sources give no event; null texts count as empty."""
+    are a registry, joined by their id. Items of unknown sources give no event; null texts count as empty. An event is observed
+    when it was published, else when it was fetched; items may lack published_at and author, which then are null."""
     src = sources.select("source_id", "source_category", "source_name", "fetch_method", "adapter", "trust_tier", "cadence_tier", "language_hint", "top50_relevance_mode", "applies_mode", "applies_assets")
+    given = lambda c: F.col(c) if c in items.columns else F.lit(None).cast("string")
+    fetched = fetched_at_ms if isinstance(fetched_at_ms, Column) else F.lit(fetched_at_ms)
+    items = items.withColumns({"published_at_ms": parse_published_at_ms(given("published_at")), "author_or_channel": given("author"), "fetched_at_ms": fetched.cast("bigint")})
     df = items.withColumns({"title": clean_text(F.coalesce("title", F.lit(""))), "body": clean_text(F.coalesce("body", F.lit("")))}).join(src, "source_id")
     match = symbol_matcher(universe)
     direct = F.when(F.col("applies_mode") == "list", F.coalesce("applies_assets", F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
@@ -107,4 +112,5 @@ def build_events(items: DataFrame, sources: DataFrame, universe: DataFrame) -> D
         "source_quality": source_quality(F.col("source_category"), F.col("trust_tier"), d, m), "source_relevance_scope": relevance_scope(F.col("top50_relevance_mode"), d, m),
         "historical_source_depth": F.coalesce("historical_source_depth", source_depth(F.col("adapter"), F.col("fetch_method"))),
         "direct_asset_count": d.cast("bigint"), "matched_asset_count": m.cast("bigint"), "schema_version": F.lit(EVENT_SCHEMA),
+        "observed_at_ms": F.coalesce("published_at_ms", "fetched_at_ms"), "language": F.col("language_hint"),
     }).withColumn("top50_relevance", F.when(F.size("symbol_candidates") > 0, "relevant").otherwise("unknown")).drop("simhash_bits", "direct", "matched", "applies_mode", "applies_assets", "top50_relevance_mode")

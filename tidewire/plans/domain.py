@@ -132,7 +132,7 @@ def coverage_diagnosis(spark: SparkSession, d: str) -> DataFrame:
 def ingest_run(spark: SparkSession, d: str) -> DataFrame:
     run = Run("intel-crawl-20260101T000000000000000Z", 1_767_225_600_000, "bucket", CAPS)
     _, pointers = ingest(read(spark, d, "feed_item"), read(spark, d, "intel_source"), read(spark, d, "universe_asset"), known(read(spark, d, "dedup_index_v2")), run)
-    return pointers.select("event_id", "source_id", "dedup_decision", "duplicate_of_event_id", "storage_ref.key", "storage_ref.line_number", "storage_ref.byte_offset")
+    return pointers.select("event_id", "source_id", "published_at_ms", "dedup_decision", "duplicate_of_event_id", "storage_ref.key", "storage_ref.line_number", "storage_ref.byte_offset")
 
 
 def partition_manifest(spark: SparkSession, d: str) -> DataFrame:

@@ -32,17 +32,17 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     """(decided events, pointers of the stored ones). Items are taken in order of source_ord, item_ord and item_key, one row for each
     item_key; their number in that order is counted per source, so no task sorts the whole run. Events are checkpointed once, since
     decisions and storage both read them."""
-    events = build_events(items.dropDuplicates(["item_key"]), sources, universe)
+    events = build_events(items.dropDuplicates(["item_key"]), sources, universe, run.now_ms)
     place = F.row_number().over(Window.partitionBy("source_ord", "source_id").orderBy("item_ord", "item_key"))
     part = F.dense_rank().over(Window.orderBy("source_ord", "source_id"))
     turns = events.select("source_ord", "source_id").distinct().withColumn("turn", part)  # a registry's sources
     events = events.withColumn("place", place).join(turns, ["source_ord", "source_id"])
-    events = events.withColumns({"event_ord": F.col("turn").cast("bigint") * (1 << 32) + F.col("place"), "fetched_at_ms": F.lit(run.now_ms).cast("bigint"), "published_at_ms": F.lit(None).cast("bigint")}).drop("turn", "place")
+    events = events.withColumn("event_ord", F.col("turn").cast("bigint") * (1 << 32) + F.col("place")).drop("turn", "place")
     events = cut(events, eager=True)
     decided = decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
     events = events.drop("run_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
     passed = admit(events.where(~skipped(F.col("dedup_decision"))), "run_id", "source_category", ["event_ord"], run.caps)
     stored = event_partitions(passed.where("admitted"), "fetched_at_ms")
-    stored = stored.withColumn("line", json_line(*POINTER_FIELDS, "title", "body", "url", "run_id"))
+    stored = stored.withColumn("line", json_line(*POINTER_FIELDS, "observed_at_ms", "language", "author_or_channel", "title", "body", "url", "run_id"))
     placed = locate(stored, ["dt", "hour", "source_category", "source_id", "run_id"], "event_ord", "line", run.chunk)
     return events, created_pointers(placed, run.bucket, F.lit(run.now_ms))
