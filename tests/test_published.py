@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -6,6 +6,7 @@ from tidewire.functions.instants import parse_published_at_ms
 from tidewire.operators.events import build_events
 from tidewire.plans.domain import CAPS, ingest_run
 from tidewire.plans.ingest import Run, ingest
+from tidewire.plans.texts import published_at_parse, written_zone_times
 from tidewire.session import read
 
 SMALL = "/root/testdata/sf0.001"
@@ -49,3 +50,13 @@ def test_a_run_stores_published_times(spark):
     got = {(r.event_id, r.published_at_ms) for r in pointers.select("event_id", "published_at_ms").collect()}
     assert got <= want and any(t is not None for _, t in got)
     assert ingest_run(spark, SMALL).where("published_at_ms is not null").count() > 0
+
+
+def test_every_item_has_a_row_and_mail_times_are_kept(spark):
+    items = read(spark, SMALL, "feed_item").dropDuplicates(["item_key"])
+    got = {r.item_key: r.published_at_ms for r in published_at_parse(spark, SMALL).collect()}
+    assert len(got) == items.count()
+    iso = {r.item_key: r.published_at_ms for r in written_zone_times(spark, SMALL).collect()}
+    assert {k: got[k] for k in iso} == iso
+    mail = [r.item_key for r in items.where(r"published_at rlike '^[A-Z][a-z]{2}, [0-9]{1,2} [A-Z][a-z]{2} [0-9]{4} .* GMT$'").collect()]
+    assert mail and all(got[k] is not None for k in mail) and not set(mail) & set(iso)

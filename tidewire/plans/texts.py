@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.html import anchor_items, looks_blocked, page_summary, page_title
-from tidewire.functions.instants import parse_notation
+from tidewire.functions.instants import parse_notation, parse_published_at_ms
 from tidewire.functions.text import canonical_symbol, clean_html_text, clean_text, hash_hex, normalize_text, path_segment, short_hash, simhash64, simhash_hex, source_offset, utc_date, utc_hour, visible_text
 from tidewire.functions.urls import absolute_url, canonical_url, with_query
 from tidewire.operators.decisions import decide, near_links
@@ -116,7 +116,7 @@ def event_partitions_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def written_zone_times(spark: SparkSession, d: str) -> DataFrame:
-    """Times that carry their own zone or are epoch milliseconds as they stand."""
+    """Integers and ISO times with seconds and a zone, others left out; published_at_parse has all items and notations."""
     rows = read(spark, d, "feed_item").select("item_key", "published_at").dropDuplicates(["item_key"])
     p = parse_notation(rows, "published_at", F.lit(False))
     ms = F.when(F.col("published_at").rlike(r"^[+-]?\d{1,18}$"), F.col("published_at").try_cast("bigint")).otherwise((F.col("__local_s") - F.col("__offset_s")) * 1000 + F.col("__ms"))
@@ -125,6 +125,11 @@ def written_zone_times(spark: SparkSession, d: str) -> DataFrame:
     return p.select("item_key", F.explode(F.array_compact(F.array(F.when(iso, ms)))).alias("published_at_ms"))
 
 
+def published_at_parse(spark: SparkSession, d: str) -> DataFrame:
+    """The published time of every item; null where it is none of the three notations."""
+    return read(spark, d, "feed_item").dropDuplicates(["item_key"]).select("item_key", parse_published_at_ms(F.col("published_at")).alias("published_at_ms"))
+
+
 def build_events_q(spark: SparkSession, d: str) -> DataFrame:
     items = read(spark, d, "feed_item").dropDuplicates(["item_key"])
     out = build_events(items, read(spark, d, "intel_source"), read(spark, d, "universe_asset"))
@@ -135,7 +140,7 @@ QUERIES = {
     "normalize_text": normalize_text_q, "content_fingerprint": content_fingerprint, "event_identity": event_identity, "simhash64": simhash, "near_duplicate_links": near_duplicate_links,
     "first_of_kind": first_of_kind, "dedup_decisions": dedup_decisions, "decisions_against_index": decisions_against_index, "dedup_shards": dedup_shards, "shard_pruned_lookup": shard_pruned_lookup, "known_index": known_index,
     "canonical_url": canonical_url_q, "clean_html": clean_html, "page_title_summary": page_title_summary, "anchor_titles": anchor_titles, "url_forms": url_forms,
-    "event_partitions": event_partitions_q, "written_zone_times": written_zone_times, "build_events": build_events_q,
+    "event_partitions": event_partitions_q, "written_zone_times": written_zone_times, "published_at_parse": published_at_parse, "build_events": build_events_q,
 }
 
 # White space and combining letters that RE2's classes leave out are written as ranges.
@@ -183,6 +188,12 @@ def _visible(x: str) -> str:
     return sql_squeeze(sql_decode(sql_clean(x)))
 
 
+_NOTE = r"\((?:[^()\\]|\\.)*\)"
+for _ in range(3):
+    _NOTE = rf"\((?:[^()\\]|\\.|{_NOTE})*\)"
+_MAIL_TIME = rf"(?is)^[{_UWS}]*(?:(sun|mon|tue|wed|thu|fri|sat),)?[{_UWS}]*(\d{{1,2}})[{_UWS}]+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[{_UWS}]+(\d{{2,4}})[{_UWS}]+(\d{{2}})[{_UWS}]*:[{_UWS}]*(\d{{2}})(?:[{_UWS}]*:[{_UWS}]*(\d{{2}}))?[{_UWS}]+(gmt|ut|[ecmp][sd]t|[a-ik-z]|[+-]\d{{4}})(?:[{_UWS}]*{_NOTE})*\z"
+_ISO_TIME = r"^(\d{4})-(\d{2})-(\d{2})[Tt ](\d{2}):(\d{2}):(\d{2})(?:\.(\d+))?([Zz]|[+\-\x{2212}]\d{2}:\d{2})\z"
+
 _FP = f"{sql_norm(_T + ' || chr(10) || ' + _B)}"
 
 SQL = {
@@ -244,4 +255,12 @@ SELECT item_key, p::BIGINT AS published_at_ms FROM x WHERE regexp_full_match(p,
 UNION ALL SELECT item_key, epoch_ms(strptime(substr(upper(p), 1, 19), '%Y-%m-%dT%H:%M:%S')) + CASE WHEN substr(p, 20, 1) = '.' THEN left(rpad(regexp_extract(p, '\\.(\\d+)', 1), 3, '0'), 3)::BIGINT ELSE 0 END
   - CASE WHEN upper(right(p, 1)) = 'Z' THEN 0 ELSE (CASE WHEN substr(p, length(p) - 5, 1) = '-' THEN -1 ELSE 1 END) * (substr(p, length(p) - 4, 2)::BIGINT * 3600000 + right(p, 2)::BIGINT * 60000) END
 FROM x WHERE regexp_full_match(p, '\\d{{4}}-\\d{{2}}-\\d{{2}}[Tt]\\d{{2}}:\\d{{2}}:\\d{{2}}(\\.\\d+)?([Zz]|[+-]\\d{{2}}:\\d{{2}})') AND try_strptime(substr(upper(p), 1, 19), '%Y-%m-%dT%H:%M:%S') IS NOT NULL""",
+    "published_at_parse": f"""WITH {_ITEMS}, r AS (SELECT item_key, published_at AS p, regexp_extract(published_at, '{_MAIL_TIME}', ['wd', 'd', 'mo', 'y', 'h', 'mi', 's', 'z']) AS a, regexp_extract(published_at, '{_ISO_TIME}', ['y', 'mo', 'd', 'h', 'mi', 's', 'f', 'z']) AS b FROM items),
+c AS (SELECT item_key, p, lower(a.wd) AS wd, CASE WHEN a.d <> '' THEN a.d ELSE b.d END AS d, CASE WHEN a.d <> '' THEN ((instr('janfebmaraprmayjunjulaugsepoctnovdec', lower(a.mo)) + 2) // 3)::VARCHAR ELSE b.mo END AS mo,
+  CASE WHEN length(a.y) = 2 AND a.y < '50' THEN (try_cast(a.y AS BIGINT) + 2000)::VARCHAR WHEN length(a.y) IN (2, 3) THEN (try_cast(a.y AS BIGINT) + 1900)::VARCHAR WHEN a.d <> '' THEN a.y ELSE b.y END AS y,
+  CASE WHEN a.d <> '' THEN a.h ELSE b.h END AS h, CASE WHEN a.d <> '' THEN a.mi ELSE b.mi END AS mi, coalesce(try_cast(CASE WHEN a.d <> '' THEN a.s ELSE b.s END AS BIGINT), 0) AS s, CASE WHEN b.f <> '' THEN try_cast(left(rpad(b.f, 3, '0'), 3) AS BIGINT) END AS f, lower(CASE WHEN a.d <> '' THEN a.z ELSE b.z END) AS z FROM r),
+t AS (SELECT *, CASE WHEN s <= 60 THEN try_strptime(y || '-' || lpad(mo, 2, '0') || '-' || lpad(d, 2, '0') || ' ' || h || ':' || mi || ':' || lpad(least(s, 59)::VARCHAR, 2, '0'), '%Y-%m-%d %H:%M:%S') END AS w,
+  CASE WHEN length(z) < 5 THEN CASE z WHEN 'edt' THEN -240 WHEN 'est' THEN -300 WHEN 'cdt' THEN -300 WHEN 'cst' THEN -360 WHEN 'mdt' THEN -360 WHEN 'mst' THEN -420 WHEN 'pdt' THEN -420 WHEN 'pst' THEN -480 ELSE 0 END
+    WHEN substr(z, 2, 2) < '24' AND right(z, 2) < '60' THEN (CASE WHEN left(z, 1) = '+' THEN 1 ELSE -1 END) * (try_cast(substr(z, 2, 2) AS BIGINT) * 60 + try_cast(right(z, 2) AS BIGINT)) END AS o FROM c)
+SELECT item_key, CASE WHEN regexp_full_match(p, '[+-]?[0-9]+') THEN try_cast(p AS BIGINT) WHEN wd = '' OR wd = lower(left(dayname(w), 3)) THEN epoch_ms(w) + (s - least(s, 59) - o * 60) * 1000 + coalesce(f, 0) END AS published_at_ms FROM t""",
 }
