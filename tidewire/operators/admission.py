@@ -6,6 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewire.functions.text import source_offset
+
+#: Items of a source taken by default, and at most of one of derivatives snapshots and of a community.
+ITEMS, DERIVATIVES_ITEMS, COMMUNITY_ITEMS = 50, 6, 5
+
+
+def item_limit(most: Column, category: Column, method: Column, backfill: Column) -> Column:
+    """Items taken of a source in a run; backfill tells a source that only runs on demand, which is no snapshot."""
+    limit = F.least(F.coalesce(most, F.lit(ITEMS)), F.lit(ITEMS))
+    snapshot = (category == "funding") & (method == "rest_api") & ~F.coalesce(backfill, F.lit(False))
+    return F.when(snapshot, F.least(limit, F.lit(DERIVATIVES_ITEMS))).when(category == "social", F.least(limit, F.lit(COMMUNITY_ITEMS))).otherwise(limit)
+
 
 def first_items(items: DataFrame, source: str, order: list[str], limit: Column) -> DataFrame:
     """The first `limit` items of each source in order (a rank within the source, not a global sort)."""
@@ -34,10 +46,17 @@ def admit(events: DataFrame, run: str, kind: str, order: list[str], caps: dict[s
     return out.withColumn("suppression_reason", F.when(~F.col("admitted"), F.concat(F.col(kind), F.lit("_run_cap"))))
 
 
-def rotated_priority(assets: DataFrame, order: str, preferred: Column, seed: Column | int) -> DataFrame:
-    """Adds priority from 1: preferred and other assets, each in order and turned left by seed, taken in turn. Assets are a registry."""
+def selection_seed(source_id: Column, at_ms: Column) -> Column:
+    """Offset of the source plus the half hours since 1970, modulo 2^64, as decimal."""
+    slot = F.floor(F.greatest(at_ms, F.lit(0)) / F.lit(1_800_000)).cast("decimal(20,0)")
+    return ((source_offset(source_id) + slot) % F.lit("18446744073709551616").cast("decimal(38,0)")).cast("decimal(20,0)")
+
+
+def rotated_priority(assets: DataFrame, order: str, preferred: Column, seed: Column | int, each: tuple[str, ...] = ()) -> DataFrame:
+    """Adds priority from 1: preferred and other assets, each in order and turned left by seed, taken in turn, within the groups of
+    `each`. Assets are a registry."""
     rows = assets.withColumn("__other", F.when(preferred, 0).otherwise(1))
-    by = Window.partitionBy("__other")
+    by = Window.partitionBy(*each, "__other")
     seed = seed if isinstance(seed, Column) else F.lit(seed)
     place = F.pmod(F.row_number().over(by.orderBy(order)) - 1 - seed, F.count(F.lit(1)).over(by))
-    return rows.withColumn("__place", place).withColumn("priority", F.row_number().over(Window.orderBy("__place", "__other"))).drop("__other", "__place")
+    return rows.withColumn("__place", place).withColumn("priority", F.row_number().over(Window.partitionBy(*each).orderBy("__place", "__other"))).drop("__other", "__place")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewire.functions.text import short_hash
+
 BACKOFF_MS, BACKOFF_MOST_MS = 60_000, 1_800_000
 CADENCE_MS = {"high": 900_000, "medium": 1_800_000, "low": 21_600_000}
 
@@ -67,3 +69,13 @@ def retryable(error: Column) -> Column:
 
 def health_level(status: Column) -> Column:
     return F.when(status.isin("ok", "not_modified", "skipped_cadence"), "healthy").when(status.isin("no_items", "skipped_backoff"), "degraded").otherwise("blocked")
+
+
+def heal_records(failures: DataFrame, source: str, at_ms: str, error: str, interval_ms: int | None) -> DataFrame:
+    """One record of a scheduled retry per failure; the next one is due after interval_ms, or is null where runs are not scheduled."""
+    kind = failure_type(F.col(error))
+    return failures.select(
+        F.lit("source_heal_event_v1").alias("schema_version"), F.concat(F.lit("src_heal_"), short_hash(F.concat_ws(":", F.col(source), F.col(at_ms).cast("string"), kind))).alias("heal_event_id"),
+        F.col(source).alias("source_id"), F.col(at_ms).alias("observed_at_ms"), kind.alias("failure_type"), F.lit("retry_with_backoff").alias("heal_action"), F.lit(1).cast("bigint").alias("attempt_count"),
+        (F.col(at_ms) + F.lit(interval_ms).cast("bigint")).alias("next_retry_at_ms"), F.lit("scheduled").alias("heal_status"),
+    )

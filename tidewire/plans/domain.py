@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.operators.admission import admit, first_items, rotated_priority
+from tidewire.functions.text import utc_date
+from tidewire.operators.admission import admit, first_items, item_limit, rotated_priority, selection_seed
 from tidewire.operators.coverage import coverage, diagnosis, histogram, registry_violations
 from tidewire.operators.events import category_hint, content_kind, content_quality, quality_score, relevance_scope, source_depth, source_quality
-from tidewire.operators.health import cadence_admitted, failure_runs, failure_type, health_level, retryable
+from tidewire.operators.health import cadence_admitted, failure_runs, failure_type, heal_records, health_level, retryable
 from tidewire.operators.symbols import haystack, symbol_matcher
 from tidewire.plans.ingest import Run, ingest
 from tidewire.sources.feeds import feed_items
-from tidewire.sources.index import known
+from tidewire.sources.index import known, recent_dates
 from tidewire.sources.layout import event_partitions, locate, manifest, replay
-from tidewire.sources.payloads import announcements, in_range, latest_per_key, rich_text_column
+from tidewire.sources.payloads import announcements, in_range, latest_per_key, rest_items, rich_text_column
 from tidewire.sources.pointers import created_pointers
+from tidewire.sources.registry import manual_backfill
 from tidewire.session import read, spread
 
 
@@ -93,6 +95,43 @@ def health_records(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", "status", health_level(F.col("status")).alias("level"), F.when(F.col("error").isNotNull(), failure_type(F.col("error"))).alias("failure_type"), retryable(F.col("error")).alias("retryable"))
 
 
+def heal_records_q(spark: SparkSession, d: str) -> DataFrame:
+    rows = _attempts(spark, d).where("event_type = 'error'").select(F.col("user_id").cast("string").alias("source"), "at_ms", _error().alias("error"))
+    return heal_records(rows, "source", "at_ms", "error", 900_000).select("heal_event_id", "source_id", "observed_at_ms", "failure_type", "attempt_count", "next_retry_at_ms")
+
+
+def item_limits(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "intel_source").select("source_id", item_limit(F.col("max_items_per_run"), F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("item_limit"))
+
+
+def selection_seeds(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "intel_source").select("source_id", selection_seed(F.col("source_id"), F.lit(1_767_225_600_000)).cast("string").alias("seed"))
+
+
+def index_dates(spark: SparkSession, d: str) -> DataFrame:
+    """The dates of the index that an event fetched on its day looks back on, by day."""
+    days = read(spark, d, "raw_intel_event").select(utc_date(F.col("fetched_at_ms")).alias("day")).distinct()
+    return days.withColumn("x", recent_dates(F.col("day").cast("date"), 14)).select("day", F.posexplode("x").alias("place", "dt"))
+
+
+def rest_payload_items(spark: SparkSession, d: str) -> DataFrame:
+    """Payloads made of registry sources and assets, each source's adapter chosen by its id; some payloads are no JSON."""
+    src = read(spark, d, "intel_source").withColumn("n", F.pmod(F.crc32(F.col("source_id").cast("binary")), F.lit(4)))
+    src = src.withColumn("adapter", F.when(F.col("n") == 0, "perp_funding_latest").when(F.col("n") == 1, "perp_funding_history").when(F.col("n") == 2, "perp_open_interest").otherwise("notice_cms_list"))
+    assets = read(spark, d, "universe_asset").where("reference_symbol_native is not null")
+    symbol, t = F.col("reference_symbol_native"), 1_767_225_600_000
+    rate = lambda at: F.concat(F.lit('{"symbol":"'), symbol, F.lit(f'","fundingRate":"0.0001","fundingTime":{at},"markPrice":"12.5"}}'))
+    rates = F.concat(F.lit("["), rate(t - 28_800_000), F.lit(","), rate(t), F.lit(","), rate(t + 28_800_000), F.lit("]"))
+    interest = F.concat(F.lit('{"symbol":"'), symbol, F.lit(f'","openInterest":"77.1","time":{t}}}'))
+    pairs = src.where("n < 3").crossJoin(F.broadcast(assets))
+    payload = F.when(symbol.startswith("B"), "oops").when(F.col("n") == 2, interest).otherwise(rates)
+    paid = pairs.select("source_id", symbol.alias("symbol"), F.concat("source_url", F.lit("?symbol="), symbol).alias("url"), payload.alias("payload"))
+    article = F.concat(F.lit('{"code":"000000","data":{"catalogs":[{"catalogId":1,"catalogName":"n","articles":[{"id":1,"code":"c-'), "source_id", F.lit('","title":"t","releaseDate":1700000000000}]}]}}'))
+    lists = src.where("n = 3").select("source_id", F.lit(None).cast("string").alias("symbol"), F.col("source_url").alias("url"), article.alias("payload"))
+    limit = item_limit(F.col("max_items_per_run"), F.col("source_category"), F.col("fetch_method"), manual_backfill())
+    return rest_items(paid.unionByName(lists), src, assets, F.coalesce(F.col("rss_seed_status") == "verified", F.lit(False)), limit, t, (t, t + 28_800_000))[0]
+
+
 def asset_rotation(spark: SparkSession, d: str) -> DataFrame:
     return rotated_priority(read(spark, d, "universe_asset").select("asset", "rss_seed_status"), "asset", F.coalesce(F.col("rss_seed_status") == "verified", F.lit(False)), 7).select("asset", F.col("priority").cast("bigint").alias("priority"))
 
@@ -177,6 +216,7 @@ QUERIES = {
     "asset_coverage": asset_coverage, "category_histogram": category_histogram, "registry_violations": registry_violations_q, "failure_backoff": failure_backoff, "cadence_admission": cadence_admission,
     "health_records": health_records, "asset_rotation": asset_rotation, "range_backfill": range_backfill, "latest_rates": latest_rates, "jsonl_locators": jsonl_locators, "created_pointers": created_pointers_q, "coverage_diagnosis": coverage_diagnosis, "ingest_run": ingest_run, "partition_manifest": partition_manifest,
     "outbox_replay": outbox_replay, "feed_parse": feed_parse, "rich_text_flatten": rich_text_flatten, "announcement_items": announcement_items,
+    "heal_records": heal_records_q, "item_limits": item_limits, "selection_seeds": selection_seeds, "index_dates": index_dates, "rest_payload_items": rest_payload_items,
 }
 
 _AT = "epoch_us(ts) // 1000"
@@ -278,4 +318,10 @@ UNION ALL SELECT 'a:' || source_id, 0, source_id, coalesce(source_name, ''), 's'
     "announcement_items": """WITH s AS (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 5 <> 0)
 SELECT s_suppkey, 0 AS item_ord, 'c1-' || s_suppkey AS id, s_name AS title, '{"catalogId":1,"catalogName":"n","code":"c1-' || s_suppkey || '","id":1,"releaseDate":1700000000000}' AS body, '1700000000000' AS published_at FROM s
 UNION ALL SELECT s_suppkey, 1, 'c2-' || s_suppkey, 'second', '{"catalogId":1,"catalogName":"n","code":"c2-' || s_suppkey || '","id":2,"releaseDate":null}', NULL FROM s""",
+    "item_limits": """SELECT source_id, CASE WHEN source_category = 'funding' AND fetch_method = 'rest_api' AND NOT coalesce(NOT enabled AND source_state = 'available_disabled' AND adapter = 'perp_funding_history', false) THEN least(coalesce(max_items_per_run, 50), 6)
+WHEN source_category = 'social' THEN least(coalesce(max_items_per_run, 50), 5) ELSE least(coalesce(max_items_per_run, 50), 50) END AS item_limit FROM intel_source""",
+    "selection_seeds": """SELECT source_id, ((list_reduce(list_concat([0::UHUGEINT], list_transform(string_split(source_id, ''), lambda c: ascii(c)::UHUGEINT)), lambda a, b: (a * 31 + b) % 18446744073709551616) + (1767225600000 // 1800000)::UHUGEINT) % 18446744073709551616::UHUGEINT)::VARCHAR AS seed FROM intel_source""",
+    "index_dates": """WITH d AS (SELECT DISTINCT make_timestamp(fetched_at_ms * 1000)::DATE AS day FROM raw_intel_event) SELECT day::VARCHAR AS day, k::INTEGER AS place, (day - k::INTEGER)::VARCHAR AS dt FROM d, range(0, 15) r(k)""",
+    "heal_records": """WITH e AS (SELECT user_id::VARCHAR AS source_id, epoch_us(ts) // 1000 AS t, CASE event_id % 7 WHEN 0 THEN 'rate_limited' WHEN 1 THEN 'timeout' WHEN 2 THEN 'parse_failed' WHEN 3 THEN 'auth_not_supported' WHEN 4 THEN 'content_empty' ELSE 'source_unreachable' END AS f FROM events WHERE event_type = 'error')
+SELECT 'src_heal_' || left(sha256(source_id || ':' || t || ':' || f), 24) AS heal_event_id, source_id, t AS observed_at_ms, f AS failure_type, 1::BIGINT AS attempt_count, t + 900000 AS next_retry_at_ms FROM e""",
 }

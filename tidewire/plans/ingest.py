@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewire.operators.admission import admit
+from tidewire.operators.admission import admit, first_items, item_limit
 from tidewire.operators.decisions import decide, skipped
 from tidewire.operators.events import build_events
 from tidewire.session import cut
 from tidewire.sources.index import simhash_of
 from tidewire.sources.layout import event_partitions, json_line, locate
 from tidewire.sources.pointers import POINTER_FIELDS, created_pointers
+from tidewire.sources.registry import manual_backfill
 
 
 @dataclass(frozen=True)
@@ -29,10 +30,17 @@ class Run:
 
 
 def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: DataFrame | None, run: Run) -> tuple[DataFrame, DataFrame]:
-    """(decided events, pointers of the stored ones). Items are taken in order of source_ord, item_ord and item_key, one row for each
+    """(decided events, pointers of the stored ones). Of each source's feed (one for each run_id of the items) only as many items as
+    the source's limit are taken. Items are taken in order of source_ord, item_ord and item_key, one row for each
     item_key; their number in that order is counted per source, so no task sorts the whole run. Events are checkpointed once, since
     decisions and storage both read them."""
-    events = build_events(items.dropDuplicates(["item_key"]), sources, universe, run.now_ms)
+    limits = sources.select("source_id", item_limit(F.col("max_items_per_run"), F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("__limit"))
+    # ranked by keys alone, so that texts are not shuffled for it
+    feed = [c for c in ("source_id", "run_id") if c in items.columns]
+    places = items.groupBy("item_key").agg(F.min(F.struct(*feed, "item_ord")).alias("__at")).select("item_key", "__at.item_ord", "__at.source_id", F.struct(*[F.col(f"__at.{c}") for c in feed]).alias("__feed"))
+    taken = first_items(places.join(F.broadcast(limits), "source_id"), "__feed", ["item_ord", "item_key"], F.col("__limit"))
+    items = items.dropDuplicates(["item_key"]).join(taken.select("item_key"), "item_key", "left_semi")
+    events = build_events(items, sources, universe, run.now_ms)
     place = F.row_number().over(Window.partitionBy("source_ord", "source_id").orderBy("item_ord", "item_key"))
     part = F.dense_rank().over(Window.orderBy("source_ord", "source_id"))
     turns = events.select("source_ord", "source_id").distinct().withColumn("turn", part)  # a registry's sources

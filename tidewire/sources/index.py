@@ -40,3 +40,8 @@ def candidate_shards(events: DataFrame) -> DataFrame:
 def pruned(sharded_index: DataFrame, events: DataFrame) -> DataFrame:
     """The index shards that events need; the list of prefixes is at most 256 rows, so it is broadcast and prunes partitions."""
     return sharded_index.join(F.broadcast(candidate_shards(events)), "hash_prefix", "left_semi")
+
+
+def recent_dates(today: Column, lookback: int) -> Column:
+    """ISO dates from today back, lookback + 1 of them, the latest first."""
+    return F.transform(F.sequence(F.lit(0), F.lit(lookback)), lambda i: F.date_sub(today, i).cast("string"))
