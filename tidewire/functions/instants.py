@@ -217,7 +217,7 @@ def to_instants(df: DataFrame, text: str, zone: str, day_first: str | None, out:
     As-of join of local times to zone-offset intervals: each row meets the intervals of its zone and local year; two that hold
     the local time make it ambiguous (the first passage is taken), none makes it nonexistent (not determinable), one gives the
     offset. A date alone is the first instant of that day. Null or blank texts, unknown notations and unknown written zones give
-    null, as do local times whose zone is null or unknown. Columns of those names are replaced, all others kept. Status: number, offset, local, ambiguous, nonexistent, unknown.
+    null, as do local times whose zone is null or unknown, or whose year is outside those of zone_intervals (1990 to 2100). Columns of those names are replaced, all others kept. Status: number, offset, local, ambiguous, nonexistent, unknown.
     """
     # the row travels as one struct, so that no helper can clash with its columns
     kept = [c for c in df.columns if c not in (out, f"{out}_status")]
