@@ -80,11 +80,11 @@ def test_components_of_a_long_chain(spark):
 
 
 def test_symbols(spark):
-    u = spark.createDataFrame([("BTC", "BTCUSDT"), ("NOT", "NOTUSDT"), ("NEAR", "NEARUSDT"), ("U", "UUSDT")], "asset string, reference_symbol_native string")
+    u = spark.createDataFrame([("KELP", "KELPUSDT"), ("HIVE", "HIVEUSDT"), ("CHIP", "CHIPUSDT"), ("Q", "QUSDT")], "asset string, reference_symbol_native string")
     match = symbol_matcher(u)
-    texts = ["btc rally", "you and us", "not a token", "(NOT)", "$near", "NOTUSDT up", "BTC-USDT", "xBTC", "BTC비트", "[u] and $U", "", None]
+    texts = ["Divers gather kelp.", "quay, Q and A", "a hive of bees", "one chip (CHIP) more", "$hive", "CHIPUSDT,KELP-USDT", "kelps", "3kelp", "KELP비트", "[q] beside $Q", "", None]
     got = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(match(haystack(F.col("t")))).collect()]
-    assert got == [["BTC"], [], [], ["NOT"], ["NEAR"], ["NOT"], ["BTC"], [], ["BTC"], ["U"], [], []]
+    assert got == [["KELP"], [], [], ["CHIP"], ["HIVE"], ["CHIP", "KELP"], [], [], ["KELP"], ["Q"], [], []]
 
 
 def test_built_events_agree_with_the_table(spark):
@@ -103,7 +103,9 @@ def test_built_events_agree_with_the_table(spark):
 def test_quotas(spark):
     rows = [(i, f"r{i % 2}", "hot" if i % 5 else "free") for i in range(400)]
     df = spark.createDataFrame(rows, "o int, run string, kind string")
-    got = {r.o for r in admit(df, "run", "kind", ["o"], {"hot": 7}).where("admitted").collect()}
+    got = admit(df, "run", "kind", ["o"], {"hot": 7})
+    assert {r[0] for r in got.where("not admitted").select("suppression_reason").distinct().collect()} == {"hot_run_cap"}
+    got = {r.o for r in got.where("admitted").collect()}
     want = {o for o, _, k in rows if k == "free"}
     for run in ("r0", "r1"):
         want |= set(sorted(o for o, x, k in rows if x == run and k == "hot")[:7])
@@ -133,6 +135,12 @@ def test_registry(spark):
     sources = spark.createDataFrame([tuple(b.values()) for b in bad], schema)
     got = sorted((r.rule, r.subject) for r in registry_violations(assets, sources).collect())
     assert got == [("asset_not_in_universe", "Z"), ("asset_twice", "B"), ("disabled_without_blocker", "d"), ("not_https", "e"), ("source_id_twice", "s")]
+    off = base | dict(enabled=False, source_state=None)
+    more = [off | dict(source_id="r", fetch_method="rest_api", adapter=" "), off | dict(source_id="q", fetch_method="ftp"), base | dict(source_id="l", applies_mode="list", applies_assets=["A", None], top50_relevance_mode="direct_asset"), off | dict(source_id="m", applies_mode="some")]
+    got = sorted((r.rule, r.subject) for r in registry_violations(spark.createDataFrame([("A", " "), ("C", None)], assets.schema), spark.createDataFrame([tuple(b.values()) for b in more], schema)).collect())
+    assert got == [("asset_not_in_universe", ""), ("blank_symbol", "A"), ("blank_symbol", "C"), ("rest_without_adapter", "r"), ("unknown_applies", "m")]
+    got = sorted((r.rule, r.subject) for r in registry_violations(assets.limit(0), sources.limit(0)).collect())
+    assert got == [("no_assets", ""), ("no_sources", "")]
     c = {r.asset: r for r in coverage(assets.dropDuplicates(["asset"]), sources.dropDuplicates(["source_id"])).collect()}
     assert c["A"].coverage_status == "asset_specific_enabled" and c["A"].direct_source_ids == ["f"] and c["D"].coverage_status == "global_symbol_match_only"
     assert c["D"].enabled_category_counts == {"news": 2} and c["D"].disabled_global == 1

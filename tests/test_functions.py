@@ -33,7 +33,7 @@ def test_hashes(spark):
 
 
 @pytest.mark.parametrize("url, want", [
-    ("HTTPS://Example.COM/a/?utm_source=x&b=2&a=1#section", "https://example.com/a?a=1&b=2"), ("http://h.x/P//?", "http://h.x/P"), ("no scheme/", "no scheme"),
+    ("FTP://Mirror.Host.ORG/Pub/Files//?z=9&igshid=q& m=#top?x", "ftp://mirror.host.org/Pub/Files?m=&z=9"), ("http://h.x/P//?", "http://h.x/P"), ("no scheme/", "no scheme"),
     ("https://h.x/a?ref=1&refx=2&UTM_A=3&=4", "https://h.x/a?=4&refx=2"), ("", ""), ("#x", "")])
 def test_urls(spark, url, want):
     assert one(spark, canonical_url(F.lit(url))) == want
@@ -59,7 +59,13 @@ def test_page_parts(spark):
     page = "<html><head><title> T </title><META x><meta name='description' content=''><meta property=\"OG:Title\" content=\"The &amp; title\"><meta property='og:description' content='short'></head><main>" + "word " * 12 + "</main></html>"
     assert one(spark, html.page_title(F.lit(page), F.lit("f"))) == "The & title"
     assert one(spark, html.page_title(F.lit("x"), F.lit("f"))) == "f"
-    assert one(spark, html.page_summary(F.lit(page.replace("'", '"')), F.lit("The & title"))) == ("word " * 12).strip()
+    assert one(spark, html.page_summary(F.lit(page), F.lit("The & title"))) == ("word " * 12).strip()
+    told = "what the page says about itself, in more than forty characters"
+    for tag in (f"<meta name='description' content='{told}'>", f'<meta name="description" content="{told}">', f"<meta name='Description' content=\"{told}\">"):
+        assert one(spark, html.page_summary(F.lit(tag + page), F.lit("t"))) == told
+    # the first content= decides, quoted by either mark, up to the same mark or the tag's end
+    for tag, want in (("<meta name='k' data-content='a' content='b'>", "a"), ("<meta name='k' content=bare data-content='b'>", None), ("<meta name=\"k\" content='it is \"so\"'>", 'it is "so"'), ("<meta name='k' content='open>", "open")):
+        assert one(spark, html.meta_content(F.lit(tag), "name", "K")) == want, tag
     assert one(spark, html.page_summary(F.lit("<body>" + "w " * 900 + "</body>"), F.lit("t"))) == ("w " * 600) + "..."
     assert one(spark, html.page_summary(F.lit("<body>" + "w " * 90), F.lit("t"))) is None
     assert one(spark, html.looks_blocked(F.lit("Just a Moment ... Cloudflare")))

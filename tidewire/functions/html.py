@@ -121,11 +121,18 @@ def tag_html(page: Column, tag: str) -> Column:
     return F.when(page.rlike(rf"(?s)<{tag}[^>]*>.*?</{tag}>"), F.regexp_extract(page, rf"(?s)<{tag}[^>]*>(.*?)</{tag}>", 1))
 
 
+def attr_of(tag: Column, name: str) -> Column:
+    """As attribute(), for a column; "" where there is no such quoted value."""
+    at = F.instr(tag, f"{name}=")
+    rest = F.when(at > 0, F.substr(tag, at + len(name) + 1)).otherwise("")
+    inside = F.substr(rest, F.lit(2))
+    return F.when(rest.startswith('"'), F.substring_index(inside, '"', 1)).when(rest.startswith("'"), F.substring_index(inside, "'", 1)).otherwise("")
+
+
 def meta_content(page: Column, attr: str, value: str) -> Column:
     """Cleaned content of the first meta tag whose attribute has the value and whose content is not blank."""
     tags = F.regexp_extract_all(page, F.lit("<meta[^>]*>"), F.lit(0))
-    of = lambda t, a: F.regexp_extract(t, rf"{a}=(?:\"([^\"]*)\"|'([^']*)')", 1)
-    found = F.filter(F.transform(F.filter(tags, lambda t: F.lower(of(t, attr)) == value.lower()), lambda t: clean_html_text(of(t, "content"))), lambda c: c != "")
+    found = F.filter(F.transform(F.filter(tags, lambda t: F.lower(attr_of(t, attr)) == value.lower()), lambda t: clean_html_text(attr_of(t, "content"))), lambda c: c != "")
     return F.get(found, F.lit(0))
 
 

@@ -12,11 +12,27 @@ from tidewire.functions.text import source_offset
 ITEMS, DERIVATIVES_ITEMS, COMMUNITY_ITEMS = 50, 6, 5
 
 
-def item_limit(most: Column, category: Column, method: Column, backfill: Column) -> Column:
-    """Items taken of a source in a run; backfill tells a source that only runs on demand, which is no snapshot."""
-    limit = F.least(F.coalesce(most, F.lit(ITEMS)), F.lit(ITEMS))
+#: Classes of sources that share quotas, and the events admitted of one in a run at most.
+SNAPSHOT, COMMUNITY, STANDARD = "derivatives_snapshot", "community_reaction", "standard_source"
+DERIVATIVES_CEILING = 12
+RUN_CAPS = {SNAPSHOT: 12, COMMUNITY: 30}
+
+
+def balance_class(category: Column, method: Column, backfill: Column) -> Column:
+    """Class of a source; backfill tells one that only runs on demand, which is no snapshot. Nulls are standard."""
     snapshot = (category == "funding") & (method == "rest_api") & ~F.coalesce(backfill, F.lit(False))
-    return F.when(snapshot, F.least(limit, F.lit(DERIVATIVES_ITEMS))).when(category == "social", F.least(limit, F.lit(COMMUNITY_ITEMS))).otherwise(limit)
+    return F.when(snapshot, SNAPSHOT).when(category == "social", COMMUNITY).otherwise(STANDARD)
+
+
+def run_caps(derivatives: int = RUN_CAPS[SNAPSHOT], community: int = RUN_CAPS[COMMUNITY]) -> dict[str, int]:
+    """Caps by class; that of snapshots can be lowered but not raised above its ceiling."""
+    return {SNAPSHOT: min(derivatives, DERIVATIVES_CEILING), COMMUNITY: community}
+
+
+def item_limit(most: Column, category: Column, method: Column, backfill: Column) -> Column:
+    """Items taken of a source in a run."""
+    limit, kind = F.least(F.coalesce(most, F.lit(ITEMS)), F.lit(ITEMS)), balance_class(category, method, backfill)
+    return F.when(kind == SNAPSHOT, F.least(limit, F.lit(DERIVATIVES_ITEMS))).when(kind == COMMUNITY, F.least(limit, F.lit(COMMUNITY_ITEMS))).otherwise(limit)
 
 
 def first_items(items: DataFrame, source: str, order: list[str], limit: Column) -> DataFrame:

@@ -49,7 +49,7 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
 
 
 def registry_violations(assets: DataFrame, sources: DataFrame) -> DataFrame:
-    """rule and subject of every breach of the registry's shape; empty for a sound one."""
+    """rule and subject of every breach of the registry's shape; empty for a sound one. Tables of registry size."""
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
     categories = ("news", "exchange_notice", "funding", "project_notice", "social", "governance", "developer_activity")
     s = F.coalesce("source_id", F.lit(""))
@@ -61,18 +61,22 @@ def registry_violations(assets: DataFrame, sources: DataFrame) -> DataFrame:
         ("state_not_aligned", F.col("source_state").isNotNull() & (F.col("enabled") != (F.col("source_state") == "enabled"))),
         ("disabled_without_blocker", F.col("source_state").isNotNull() & ~F.col("enabled") & blank("activation_blocker")),
         ("unfetchable", F.col("enabled") & ~F.coalesce(F.col("fetch_method").isin("rss", "rest_api", "html_crawl"), F.lit(False))),
-        ("rest_without_adapter", F.col("enabled") & (F.col("fetch_method") == "rest_api") & blank("adapter")),
+        ("rest_without_adapter", (F.col("fetch_method") == "rest_api") & blank("adapter")),
         ("zero_items", F.coalesce(F.col("max_items_per_run") == 0, F.lit(False))), ("not_https", ~F.coalesce(F.col("source_url").startswith("https://"), F.lit(False))),
+        ("unknown_applies", ~F.coalesce(F.col("applies_mode").isin("all_major_50", "list"), F.lit(False))),
         ("all_not_by_alias", (F.col("applies_mode") == "all_major_50") & (F.col("top50_relevance_mode") != "symbol_alias_match")),
         ("list_not_direct", (F.col("applies_mode") == "list") & ((F.coalesce(F.size("applies_assets"), F.lit(0)) < 1) | (F.col("top50_relevance_mode") != "direct_asset"))),
     ]
     row = sources.select(F.explode(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(r).alias("rule"), s.alias("subject"))) for r, c in checks])).alias("v")).where("v is not null").select("v.rule", "v.subject")
     again = lambda df, c, rule: df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit(rule).alias("rule"), F.col(c).alias("subject"))
+    none = lambda df, rule: df.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit(rule).alias("rule"), F.lit("").alias("subject"))
     named = sources.where("enabled and applies_mode = 'list'").select(F.explode("applies_assets").alias("asset")).distinct()
     return (
         row.unionByName(again(sources, "source_id", "source_id_twice")).unionByName(again(assets, "asset", "asset_twice")).unionByName(again(assets, "reference_symbol_native", "symbol_twice"))
-        .unionByName(named.join(assets.select("asset"), "asset", "left_anti").select(F.lit("asset_not_in_universe").alias("rule"), F.col("asset").alias("subject")))
+        .unionByName(named.join(assets.select("asset"), "asset", "left_anti").select(F.lit("asset_not_in_universe").alias("rule"), F.coalesce("asset", F.lit("")).alias("subject")))
         .unionByName(assets.where(blank("asset")).select(F.lit("blank_asset").alias("rule"), F.lit("").alias("subject")))
+        .unionByName(assets.where(blank("reference_symbol_native")).select(F.lit("blank_symbol").alias("rule"), F.coalesce("asset", F.lit("")).alias("subject")))
+        .unionByName(none(assets, "no_assets")).unionByName(none(sources, "no_sources"))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import utc_date
-from tidewire.operators.admission import admit, first_items, item_limit, rotated_priority, selection_seed
+from tidewire.operators.admission import STANDARD, admit, balance_class, first_items, item_limit, rotated_priority, run_caps, selection_seed
 from tidewire.operators.coverage import coverage, diagnosis, histogram, registry_violations
 from tidewire.operators.events import category_hint, content_kind, content_quality, quality_score, relevance_scope, source_depth, source_quality
 from tidewire.operators.health import cadence_admitted, failure_runs, failure_type, heal_records, health_level, retryable
@@ -44,17 +44,18 @@ def topk_per_source(spark: SparkSession, d: str) -> DataFrame:
     return first_items(items, "feed", ["item_ord", "item_key"], F.col("k")).select("item_key", "source_id", "run_id", "item_ord")
 
 
-CAPS = {"social": 30, "funding": 12}
+CAPS = run_caps()
 
 
-def balance_admission(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "raw_intel_event").select("event_ord", "run_id", "source_category")
-    return admit(rows, "run_id", "source_category", ["event_ord"], CAPS).select("event_ord", "admitted", "suppression_reason")
+def _classed(spark: SparkSession, d: str) -> DataFrame:
+    """Events with the class of their source; those of sources that the registry lacks are standard."""
+    src = read(spark, d, "intel_source").select("source_id", balance_class(F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("kind"))
+    rows = read(spark, d, "raw_intel_event").select("event_ord", "run_id", "source_id").join(src, "source_id", "left")
+    return rows.withColumn("kind", F.coalesce("kind", F.lit(STANDARD)))
 
 
-def balance_records(spark: SparkSession, d: str) -> DataFrame:
-    rows = admit(read(spark, d, "raw_intel_event").select("event_ord", "run_id", "source_category", "source_id"), "run_id", "source_category", ["event_ord"], CAPS)
-    return rows.groupBy("run_id", "source_id").agg(F.count(F.lit(1)).alias("items_seen"), F.count_if("admitted").alias("events_emitted"), F.count_if(~F.col("admitted")).alias("suppressed"))
+def balance_admission(spark: SparkSession, d: str) -> DataFrame:
+    return admit(_classed(spark, d), "run_id", "kind", ["event_ord"], CAPS).select("event_ord", "kind", "admitted", "suppression_reason")
 
 
 def asset_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -71,6 +72,25 @@ def registry_violations_q(spark: SparkSession, d: str) -> DataFrame:
     return registry_violations(read(spark, d, "universe_asset"), read(spark, d, "intel_source"))
 
 
+#: One breach for each source, chosen by the last letter of its id, and some of assets: the same in the query and its SQL.
+_BROKEN = """src AS (SELECT source_id, CASE WHEN n = 0 THEN 'weather' ELSE source_category END AS source_category, CASE WHEN n = 1 THEN NULL ELSE trust_tier END AS trust_tier, CASE WHEN n = 2 THEN 'hourly' ELSE cadence_tier END AS cadence_tier,
+  CASE WHEN n = 3 THEN 'other' ELSE top50_relevance_mode END AS top50_relevance_mode, CASE WHEN n = 4 THEN 'paused' ELSE source_state END AS source_state, CASE WHEN n = 5 THEN 'ftp' WHEN n = 6 THEN 'rest_api' ELSE fetch_method END AS fetch_method,
+  CASE WHEN n = 6 THEN ' ' ELSE adapter END AS adapter, CASE WHEN n = 7 THEN 0 ELSE max_items_per_run END AS max_items_per_run, CASE WHEN n = 8 THEN 'http://plain.test' ELSE source_url END AS source_url,
+  CASE WHEN n = 9 THEN 'some' WHEN n = 10 THEN 'list' ELSE applies_mode END AS applies_mode, CASE WHEN n = 10 THEN {array}('ZZZ', NULL) ELSE applies_assets END AS applies_assets, CASE WHEN n = 11 THEN NOT enabled ELSE enabled END AS enabled,
+  CASE WHEN n = 12 THEN ' ' ELSE activation_blocker END AS activation_blocker FROM (SELECT *, ascii(right(source_id, 1)) % 13 AS n FROM intel_source)
+  UNION ALL SELECT source_id, source_category, trust_tier, cadence_tier, top50_relevance_mode, source_state, fetch_method, adapter, max_items_per_run, source_url, applies_mode, applies_assets, enabled, activation_blocker FROM intel_source WHERE fetch_method = 'rest_api'
+  UNION ALL SELECT CAST(NULL AS STRING), source_category, trust_tier, cadence_tier, top50_relevance_mode, 'available_disabled', fetch_method, adapter, max_items_per_run, source_url, 'list', {array}(), false, NULL FROM intel_source WHERE fetch_method = 'rss'),
+ast AS (SELECT asset, reference_symbol_native FROM universe_asset UNION ALL SELECT asset, CASE WHEN asset < 'F' THEN ' ' ELSE reference_symbol_native END FROM universe_asset WHERE asset < 'M' UNION ALL SELECT ' ', NULL FROM universe_asset WHERE asset < 'C')"""
+
+
+def registry_breaches(spark: SparkSession, d: str) -> DataFrame:
+    """The checks on a registry that breaks each rule."""
+    views = {t: read(spark, d, t) for t in ("intel_source", "universe_asset")}
+    text = _BROKEN.format(array="array").replace("FROM intel_source", "FROM {intel_source}").replace("FROM universe_asset", "FROM {universe_asset}")
+    assets, sources = (spark.sql(f"WITH {text} SELECT * FROM {t}", **views) for t in ("ast", "src"))
+    return registry_violations(assets, sources)
+
+
 def _attempts(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", "user_id", F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("at_ms"), "event_type", "value")
 
@@ -212,16 +232,18 @@ def announcement_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "symbol_match": symbol_match, "event_classification": event_classification, "topk_per_source": topk_per_source, "balance_admission": balance_admission, "balance_records": balance_records,
-    "asset_coverage": asset_coverage, "category_histogram": category_histogram, "registry_violations": registry_violations_q, "failure_backoff": failure_backoff, "cadence_admission": cadence_admission,
+    "symbol_match": symbol_match, "event_classification": event_classification, "topk_per_source": topk_per_source, "balance_admission": balance_admission,
+    "asset_coverage": asset_coverage, "category_histogram": category_histogram, "registry_violations": registry_violations_q, "registry_breaches": registry_breaches, "failure_backoff": failure_backoff, "cadence_admission": cadence_admission,
     "health_records": health_records, "asset_rotation": asset_rotation, "range_backfill": range_backfill, "latest_rates": latest_rates, "jsonl_locators": jsonl_locators, "created_pointers": created_pointers_q, "coverage_diagnosis": coverage_diagnosis, "ingest_run": ingest_run, "partition_manifest": partition_manifest,
     "outbox_replay": outbox_replay, "feed_parse": feed_parse, "rich_text_flatten": rich_text_flatten, "announcement_items": announcement_items,
     "heal_records": heal_records_q, "item_limits": item_limits, "selection_seeds": selection_seeds, "index_dates": index_dates, "rest_payload_items": rest_payload_items,
 }
 
 _AT = "epoch_us(ts) // 1000"
-_ADMIT = """r AS (SELECT event_ord, run_id, source_id, source_category, row_number() OVER (PARTITION BY run_id, source_category ORDER BY event_ord) AS n FROM raw_intel_event),
-a AS (SELECT *, CASE WHEN source_category = 'social' THEN n <= 30 WHEN source_category = 'funding' THEN n <= 12 ELSE true END AS admitted FROM r)"""
+_ADMIT = """c AS (SELECT source_id AS id, CASE WHEN source_category = 'funding' AND fetch_method = 'rest_api' AND NOT coalesce(NOT enabled AND source_state = 'available_disabled' AND adapter = 'perp_funding_history', false) THEN 'derivatives_snapshot'
+  WHEN source_category = 'social' THEN 'community_reaction' ELSE 'standard_source' END AS kind FROM intel_source),
+r AS (SELECT event_ord, run_id, source_id, coalesce(kind, 'standard_source') AS kind, row_number() OVER (PARTITION BY run_id, coalesce(kind, 'standard_source') ORDER BY event_ord) AS n FROM raw_intel_event LEFT JOIN c ON id = source_id),
+a AS (SELECT *, CASE kind WHEN 'community_reaction' THEN n <= 30 WHEN 'derivatives_snapshot' THEN n <= 12 ELSE true END AS admitted FROM r)"""
 _LINE = """l AS (SELECT event_ord, strftime(make_timestamp(fetched_at_ms * 1000), '%Y-%m-%d') AS dt, strftime(make_timestamp(fetched_at_ms * 1000), '%H') AS hour, source_category, source_id,
 '{"event_id":"' || event_id || '","title":"' || regexp_replace(coalesce(title, ''), '["\\\\\\n\\r\\t]', ' ', 'g') || '"}' AS line FROM raw_intel_event)"""
 
@@ -232,6 +254,27 @@ p AS (SELECT *, (rn // {chunk} + 1)::INTEGER AS part, rn % {chunk} + 1 AS line_n
 q AS (SELECT *, coalesce(sum(byte_length + 1) OVER (PARTITION BY dt, hour, source_category, source_id, part ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_offset FROM p)"""
 
 
+def _violations(src: str, ast: str, ctes: str = "") -> str:
+    ctes = ctes.replace("{array}(", "list_value(").replace("list_value()", "[]::VARCHAR[]")
+    return f"""WITH {ctes}s AS (SELECT *, coalesce(source_id, '') AS subject FROM {src}), r AS (SELECT subject, unnest([
+CASE WHEN coalesce(trim(source_id), '') = '' THEN 'blank_source_id' END, CASE WHEN coalesce(source_category, '') NOT IN ('news', 'exchange_notice', 'funding', 'project_notice', 'social', 'governance', 'developer_activity') THEN 'unknown_category' END,
+CASE WHEN coalesce(trust_tier, '') NOT IN ('T0', 'T1', 'T2') THEN 'unknown_trust_tier' END, CASE WHEN coalesce(cadence_tier, '') NOT IN ('high', 'medium', 'low') THEN 'unknown_cadence' END,
+CASE WHEN coalesce(top50_relevance_mode, '') NOT IN ('symbol_alias_match', 'direct_asset') THEN 'unknown_mode' END, CASE WHEN source_state NOT IN ('enabled', 'available_disabled', 'blocked', 'unsupported') THEN 'unknown_state' END,
+CASE WHEN source_state IS NOT NULL AND enabled <> (source_state = 'enabled') THEN 'state_not_aligned' END, CASE WHEN source_state IS NOT NULL AND NOT enabled AND coalesce(trim(activation_blocker), '') = '' THEN 'disabled_without_blocker' END,
+CASE WHEN enabled AND coalesce(fetch_method, '') NOT IN ('rss', 'rest_api', 'html_crawl') THEN 'unfetchable' END, CASE WHEN fetch_method = 'rest_api' AND coalesce(trim(adapter), '') = '' THEN 'rest_without_adapter' END,
+CASE WHEN max_items_per_run = 0 THEN 'zero_items' END, CASE WHEN coalesce(source_url, '') NOT LIKE 'https://%' THEN 'not_https' END, CASE WHEN coalesce(applies_mode, '') NOT IN ('all_major_50', 'list') THEN 'unknown_applies' END,
+CASE WHEN applies_mode = 'all_major_50' AND top50_relevance_mode <> 'symbol_alias_match' THEN 'all_not_by_alias' END,
+CASE WHEN applies_mode = 'list' AND (coalesce(len(applies_assets), 0) < 1 OR top50_relevance_mode <> 'direct_asset') THEN 'list_not_direct' END]) AS rule FROM s)
+SELECT rule, subject FROM r WHERE rule IS NOT NULL
+UNION ALL SELECT 'source_id_twice', source_id FROM {src} WHERE source_id IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'asset_twice', asset FROM {ast} WHERE asset IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'symbol_twice', reference_symbol_native FROM {ast} WHERE reference_symbol_native IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'asset_not_in_universe', coalesce(a, '') FROM (SELECT unnest(applies_assets) AS a FROM {src} WHERE enabled AND applies_mode = 'list') WHERE a IS NULL OR a NOT IN (SELECT asset FROM {ast} WHERE asset IS NOT NULL)
+UNION ALL SELECT 'blank_asset', '' FROM {ast} WHERE coalesce(trim(asset), '') = ''
+UNION ALL SELECT 'blank_symbol', coalesce(asset, '') FROM {ast} WHERE coalesce(trim(reference_symbol_native), '') = ''
+UNION ALL SELECT 'no_assets', '' WHERE NOT EXISTS (FROM {ast}) UNION ALL SELECT 'no_sources', '' WHERE NOT EXISTS (FROM {src})"""
+
+
 SQL = {
     "symbol_match": """WITH u AS (SELECT asset, upper(asset) AS a, upper(reference_symbol_native) AS r FROM universe_asset),
 al AS (SELECT asset, unnest([CASE WHEN a NOT IN ('BIO','CHIP','DASH','DOGS','HIVE','MEGA','NEAR','NOT','TON','TRUMP') THEN a END, r, replace(r, 'USDT', '-USDT'), '$' || a, '(' || a || ')', '[' || a || ']']) AS alias FROM u),
@@ -250,8 +293,7 @@ CASE WHEN dc > 0 THEN 'direct_asset' WHEN mc > 0 THEN 'symbol_alias_match' WHEN
 least(100, CASE quality WHEN 'full_text' THEN 70 WHEN 'numeric_observation' THEN 55 WHEN 'short_text' THEN 50 WHEN 'metadata_fallback' THEN 40 ELSE 25 END + CASE tier WHEN 'T0' THEN 15 WHEN 'T1' THEN 8 ELSE 0 END + CASE WHEN dc > 0 THEN 10 WHEN mc > 0 THEN 5 ELSE 0 END)::INTEGER AS score FROM y""",
     "topk_per_source": """SELECT item_key, source_id, run_id, item_ord FROM (SELECT f.*, least(coalesce(max_items_per_run, 50), 50) AS k, row_number() OVER (PARTITION BY run_id, f.source_id ORDER BY item_ord, item_key) AS n
 FROM feed_item f JOIN intel_source s USING (source_id)) WHERE n <= k""",
-    "balance_admission": f"WITH {_ADMIT} SELECT event_ord, admitted, CASE WHEN NOT admitted THEN source_category || '_run_cap' END AS suppression_reason FROM a",
-    "balance_records": f"WITH {_ADMIT} SELECT run_id, source_id, count(*) AS items_seen, count(*) FILTER (admitted) AS events_emitted, count(*) FILTER (NOT admitted) AS suppressed FROM a GROUP BY ALL",
+    "balance_admission": f"WITH {_ADMIT} SELECT event_ord, kind, admitted, CASE WHEN NOT admitted THEN CASE kind WHEN 'community_reaction' THEN 'community_reaction_run_cap' ELSE 'derivatives_snapshot_run_cap' END END AS suppression_reason FROM a",
     "asset_coverage": """WITH x AS (SELECT a.asset, s.source_id, source_category AS cat, enabled, coalesce(NOT enabled AND source_state = 'available_disabled', false) AS off, applies_mode = 'list' AS direct
   FROM universe_asset a JOIN intel_source s ON applies_mode = 'all_major_50' OR (applies_mode = 'list' AND list_contains(applies_assets, a.asset))),
 g AS (SELECT asset, count(*) FILTER (enabled AND direct) AS enabled_direct, count(*) FILTER (enabled AND NOT direct) AS enabled_global, count(*) FILTER (off AND direct) AS disabled_direct, count(*) FILTER (off AND NOT direct) AS disabled_global,
@@ -264,21 +306,8 @@ array_to_string(list_filter([CASE WHEN coalesce(enabled_direct, 0) = 0 THEN 'mis
   CASE WHEN coalesce(disabled_direct, 0) + coalesce(disabled_global, 0) = 0 AND coalesce(social, 0) = 0 THEN 'missing_community_reaction_inventory' END, CASE WHEN coalesce(news, 0) = 0 THEN 'missing_global_news_source' END], lambda v: v IS NOT NULL), ',') AS gaps
 FROM universe_asset a LEFT JOIN g USING (asset) LEFT JOIN h USING (asset)""",
     "category_histogram": "SELECT source_category, count(*) AS n FROM raw_intel_event GROUP BY 1",
-    "registry_violations": """WITH s AS (SELECT *, coalesce(source_id, '') AS subject FROM intel_source), r AS (SELECT subject, unnest([
-CASE WHEN coalesce(trim(source_id), '') = '' THEN 'blank_source_id' END, CASE WHEN coalesce(source_category, '') NOT IN ('news', 'exchange_notice', 'funding', 'project_notice', 'social', 'governance', 'developer_activity') THEN 'unknown_category' END,
-CASE WHEN coalesce(trust_tier, '') NOT IN ('T0', 'T1', 'T2') THEN 'unknown_trust_tier' END, CASE WHEN coalesce(cadence_tier, '') NOT IN ('high', 'medium', 'low') THEN 'unknown_cadence' END,
-CASE WHEN coalesce(top50_relevance_mode, '') NOT IN ('symbol_alias_match', 'direct_asset') THEN 'unknown_mode' END, CASE WHEN source_state NOT IN ('enabled', 'available_disabled', 'blocked', 'unsupported') THEN 'unknown_state' END,
-CASE WHEN source_state IS NOT NULL AND enabled <> (source_state = 'enabled') THEN 'state_not_aligned' END, CASE WHEN source_state IS NOT NULL AND NOT enabled AND coalesce(trim(activation_blocker), '') = '' THEN 'disabled_without_blocker' END,
-CASE WHEN enabled AND coalesce(fetch_method, '') NOT IN ('rss', 'rest_api', 'html_crawl') THEN 'unfetchable' END, CASE WHEN enabled AND fetch_method = 'rest_api' AND coalesce(trim(adapter), '') = '' THEN 'rest_without_adapter' END,
-CASE WHEN max_items_per_run = 0 THEN 'zero_items' END, CASE WHEN coalesce(source_url, '') NOT LIKE 'https://%' THEN 'not_https' END,
-CASE WHEN applies_mode = 'all_major_50' AND top50_relevance_mode <> 'symbol_alias_match' THEN 'all_not_by_alias' END,
-CASE WHEN applies_mode = 'list' AND (coalesce(len(applies_assets), 0) < 1 OR top50_relevance_mode <> 'direct_asset') THEN 'list_not_direct' END]) AS rule FROM s)
-SELECT rule, subject FROM r WHERE rule IS NOT NULL
-UNION ALL SELECT 'source_id_twice', source_id FROM intel_source WHERE source_id IS NOT NULL GROUP BY 2 HAVING count(*) > 1
-UNION ALL SELECT 'asset_twice', asset FROM universe_asset WHERE asset IS NOT NULL GROUP BY 2 HAVING count(*) > 1
-UNION ALL SELECT 'symbol_twice', reference_symbol_native FROM universe_asset WHERE reference_symbol_native IS NOT NULL GROUP BY 2 HAVING count(*) > 1
-UNION ALL SELECT DISTINCT 'asset_not_in_universe', a FROM (SELECT unnest(applies_assets) AS a FROM intel_source WHERE enabled AND applies_mode = 'list') WHERE a NOT IN (SELECT asset FROM universe_asset WHERE asset IS NOT NULL)
-UNION ALL SELECT 'blank_asset', '' FROM universe_asset WHERE coalesce(trim(asset), '') = ''""",
+    "registry_violations": _violations("intel_source", "universe_asset"),
+    "registry_breaches": _violations("src", "ast", f"{_BROKEN}, "),
     "failure_backoff": f"""WITH x AS (SELECT event_id, user_id, {_AT} AS t, event_type = 'error' AS f FROM events),
 y AS (SELECT *, sum((NOT f)::INT) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS g FROM x),
 z AS (SELECT *, sum(f::INT) OVER (PARTITION BY user_id, g ORDER BY t, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS failure_count FROM y)

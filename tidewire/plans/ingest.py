@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewire.operators.admission import admit, first_items, item_limit
+from tidewire.operators.admission import admit, balance_class, first_items, item_limit
 from tidewire.operators.decisions import decide, skipped
 from tidewire.operators.events import build_events
 from tidewire.session import cut
@@ -20,7 +20,7 @@ from tidewire.sources.registry import manual_backfill
 
 @dataclass(frozen=True)
 class Run:
-    """What a run is given. caps: events admitted of a category; chunk: records of one stored object."""
+    """What a run is given. caps: events admitted of a class of sources; chunk: records of one stored object."""
 
     run_id: str
     now_ms: int
@@ -49,7 +49,9 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     events = cut(events, eager=True)
     decided = decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
     events = events.drop("run_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
-    passed = admit(events.where(~skipped(F.col("dedup_decision"))), "run_id", "source_category", ["event_ord"], run.caps)
+    classes = sources.select("source_id", balance_class(F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("balance_class"))
+    events = events.join(F.broadcast(classes), "source_id")  # a registry
+    passed = admit(events.where(~skipped(F.col("dedup_decision"))), "run_id", "balance_class", ["event_ord"], run.caps)
     stored = event_partitions(passed.where("admitted"), "fetched_at_ms")
     stored = stored.withColumn("line", json_line(*POINTER_FIELDS, "observed_at_ms", "language", "author_or_channel", "title", "body", "url", "run_id"))
     placed = locate(stored, ["dt", "hour", "source_category", "source_id", "run_id"], "event_ord", "line", run.chunk)
