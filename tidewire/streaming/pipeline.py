@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewire.operators.delivery import SeenStore
 from tidewire.operators.health import BACKOFF_MOST_MS, BACKOFF_MS
+from tidewire.operators.lateness import PeriodFigures
 
 
 def deliver_once(messages: DataFrame, store: SeenStore, out: str, checkpoint: str, key: str = "event_id", order: str = "created_at_ms", delivery: str = "delivery_id") -> StreamingQuery:
@@ -25,6 +26,16 @@ def deliver_once(messages: DataFrame, store: SeenStore, out: str, checkpoint: st
     return messages.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def corrected_figures(events: DataFrame, store: PeriodFigures, key: str, published: str, arrived: str, checkpoint: str, out: str, value: str | None = None) -> StreamingQuery:
+    """Figures by period of event time, corrected as late events come until the cut-off: each micro-batch writes the figures that it
+    changed below out/batch=N. Open periods are kept in the store. Runs over what is there and stops."""
+
+    def one(batch: DataFrame, number: int) -> None:
+        store.take(batch, f"b{number:09d}", key, published, arrived, value).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return events.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def windowed_counts(events: DataFrame, time: str, width: str, lateness: str, keys: list[str]) -> DataFrame:
     """Counts per window of event time and keys; corrected while rows are at most `lateness` behind the newest, then final."""
     return events.withWatermark(time, lateness).groupBy(F.window(time, width).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
