@@ -1,4 +1,5 @@
-from datetime import datetime, timezone
+import random
+from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 import pytest
@@ -64,3 +65,12 @@ def test_bigint_units(spark):
     values = [None, 0, -1, 946_684_799, 946_684_800, 4_102_444_799, 4_102_444_800, 1760313627740, 1760314726554625, 1760323825688722918, 9_999_999_999_999]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "n bigint").select(epoch_bigint_ms(F.col("n"))).collect()]
     assert got == [None, None, None, None, 946_684_800_000, 4_102_444_799_000, None, 1760313627740, 1760314726554, 1760323825688, None]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Africa/Casablanca", "Europe/Berlin", "Australia/Lord_Howe"])
+def test_any_year_against_zoneinfo(spark, zone):
+    r = random.Random(zone)
+    naive = [datetime(y, r.randrange(1, 13), r.randrange(1, 29), r.randrange(24), 30) for y in [3, 1000, *range(1790, 2120, 3), *range(2120, 9999, 37), 2499, 2500, 2501, 9998]]
+    naive += [datetime(1989, 6, 1, 10), datetime(1985, 3, 1), datetime(2150, 1, 1, 10)]
+    want = [(n.replace(tzinfo=timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)) - ZoneInfo(zone).utcoffset(n) for n in naive]
+    assert instants_of(spark, [(n.isoformat(" ").rjust(19, "0"),) for n in naive], zone) == [w // timedelta(milliseconds=1) for w in want]

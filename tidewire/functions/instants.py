@@ -160,46 +160,78 @@ def parse_published_at_ms(text: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint")).otherwise(ms)
 
 
-def _intervals_of(zone: str, first_year: int, last_year: int) -> list[tuple[int, int, int]]:
-    """(from, to, offset) in UTC seconds over the years, found by bisection between days of differing offset."""
+#: Zones have no changes of offset before FIRST_YEAR; from CYCLE_YEAR on they follow rules that repeat every 400 years, as the calendar does.
+FIRST_YEAR, CYCLE_YEAR, CYCLE_YEARS, CYCLE_S = 1800, 2100, 400, 146_097 * 86_400
+_FIRST_DAY_S = -5_364_576_000  # 1800-01-02
+
+
+def _changes_of(zone: str) -> list[int]:
+    """UTC seconds of the changes that the zone's file lists; a rule holds after the last."""
+    import importlib.resources
+    import os
+    import struct
+    import zoneinfo
+
+    found = [p for p in (os.path.join(d, zone) for d in zoneinfo.TZPATH) if os.path.isfile(p)]
+    raw = open(found[0], "rb").read() if found else importlib.resources.files("tzdata").joinpath("zoneinfo", *zone.split("/")).read_bytes()
+    size, at = 4, 0
+    utc, std, leap, times, types, chars = struct.unpack(">6l", raw[20:44])
+    if raw[4:5] >= b"2":  # the second block has times of eight bytes
+        at = 44 + times * 5 + types * 6 + chars + leap * 8 + std + utc
+        size, times = 8, struct.unpack(">6l", raw[at + 20 : at + 44])[3]
+    return [int.from_bytes(raw[at + 44 + size * k : at + 44 + size * (k + 1)], "big", signed=True) for k in range(times)]
+
+
+def _intervals_of(zone: str) -> list[tuple[int, int, int]]:
+    """(from, to, offset) in UTC seconds up to the end of the first cycle: between listed changes, and after them by bisection
+    between every twentieth day of differing offset (rules change months apart)."""
     from datetime import datetime, timedelta, timezone
     from zoneinfo import ZoneInfo
 
-    z, utc = ZoneInfo(zone), timezone.utc
-    off = lambda s: int(datetime.fromtimestamp(s, utc).astimezone(z).utcoffset() / timedelta(seconds=1))
-    begin, end = (int(datetime(y, 1, 1, tzinfo=utc).timestamp()) for y in (first_year, last_year + 1))
+    z, utc, epoch = ZoneInfo(zone), timezone.utc, datetime(1970, 1, 1, tzinfo=timezone.utc)
+    off = lambda s: int((epoch + timedelta(seconds=s)).astimezone(z).utcoffset() / timedelta(seconds=1))
+    begin, end = (int(datetime(y, 1, 1, tzinfo=utc).timestamp()) for y in (FIRST_YEAR, CYCLE_YEAR + CYCLE_YEARS))
+    listed = [t for t in _changes_of(zone) if begin < t < end]
     out, at, now = [], begin, off(begin)
-    for s in range(begin, end, 86_400):
-        e = min(s + 86_400, end)
-        if off(e) != now:
-            lo, hi = s, e
+
+    def change(s: int) -> None:
+        nonlocal at, now
+        if off(s) != now:
+            out.append((at, s, now))
+            at, now = s, off(s)
+
+    for t in listed:
+        change(t)
+    for s in range(max([begin, *listed]), end, 20 * 86_400):
+        lo, hi = s, min(s + 20 * 86_400, end)
+        if off(hi) != now:
             while hi - lo > 1:
                 mid = (lo + hi) // 2
                 lo, hi = (mid, hi) if off(mid) == now else (lo, mid)
-            out.append((at, hi, now))
-            at, now = hi, off(hi)
-    return [*out, (at, end, now)]
+            change(hi)
+    return [*out, (at, end + 86_400, now)]
 
 
-def zone_intervals(zones: DataFrame, first_year: int = 1990, last_year: int = 2100) -> DataFrame:
-    """One row per zone and local year: __zone, __year, __spans, an array of (local_from, local_to, offset_s).
+def zone_intervals(zones: DataFrame) -> DataFrame:
+    """One row per zone and local year from FIRST_YEAR to the end of the first cycle: __zone, __year, __spans, an array of
+    (local_from, local_to, offset_s).
 
     zones: one column of IANA names; null and unknown names give no rows. The result is bounded by the tz database (about 600
-    names) times the years, at most some MB, whatever the data; so it may be broadcast.
+    names) times 700 years, at most some 60 MB whatever the data; so it may be broadcast.
     """
     name = zones.columns[0]
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from datetime import datetime, timezone
+        import numpy as np
 
         for pdf in batches:
             rows = []
             for zone in pdf[name]:
                 try:
-                    spans = _intervals_of(zone, first_year, last_year)
+                    spans = _intervals_of(zone)
                 except Exception:  # no such zone
                     continue
-                year = lambda s: datetime.fromtimestamp(s, timezone.utc).year
+                year = lambda s: int(np.datetime64(s, "s").astype("datetime64[Y]").astype(int)) + 1970
                 by: dict[int, list] = {}
                 for a, b, o in spans:
                     for y in range(year(a + o), year(b + o + 86_400) + 1):
@@ -217,7 +249,9 @@ def to_instants(df: DataFrame, text: str, zone: str, day_first: str | None, out:
     As-of join of local times to zone-offset intervals: each row meets the intervals of its zone and local year; two that hold
     the local time make it ambiguous (the first passage is taken), none makes it nonexistent (not determinable), one gives the
     offset. A date alone is the first instant of that day. Null or blank texts, unknown notations and unknown written zones give
-    null, as do local times whose zone is null or unknown, or whose year is outside those of zone_intervals (1990 to 2100). Columns of those names are replaced, all others kept. Status: number, offset, local, ambiguous, nonexistent, unknown.
+    null, as do local times whose zone is null or unknown. Any year that can be written counts: times before FIRST_YEAR are read in
+    the zone's first offset, later ones than the first cycle in the year of that cycle that has the same calendar. Columns of those
+    names are replaced, all others kept. Status: number, offset, local, ambiguous, nonexistent, unknown.
     """
     # the row travels as one struct, so that no helper can clash with its columns
     kept = [c for c in df.columns if c not in (out, f"{out}_status")]
@@ -229,9 +263,15 @@ def to_instants(df: DataFrame, text: str, zone: str, day_first: str | None, out:
         "__z": F.when(F.col("__offset_s").isNull() & ~F.col("__bad_zone") & local.isNotNull(), F.col("__in")),
         "__year_of": F.year(F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(__local_s as decimal(18,6)))")),
     })
+    # years outside the intervals are moved into them by whole cycles, or to their first day, and the instant is moved back
+    cycles = F.floor((F.col("__year_of") - CYCLE_YEAR) / F.lit(CYCLE_YEARS))
+    away = F.when(F.col("__year_of") >= CYCLE_YEAR + CYCLE_YEARS, cycles * CYCLE_S).when(F.col("__year_of") < FIRST_YEAR, local - _FIRST_DAY_S).otherwise(0)
+    year = F.when(F.col("__year_of") >= CYCLE_YEAR + CYCLE_YEARS, F.col("__year_of") - cycles * CYCLE_YEARS).otherwise(F.greatest("__year_of", F.lit(FIRST_YEAR)))
+    parsed = parsed.withColumns({"__away": away.cast("bigint"), "__year_of": year.cast("int")})
     joined = parsed.join(F.broadcast(spans), (F.col("__z") == F.col("__zone")) & (F.col("__year_of") == F.col("__year")), "left")
-    holds = F.filter("__spans", lambda x: (x.local_from < local + F.col("__span")) & (x.local_to > local))
-    when = F.array_min(F.transform(F.col("__held"), lambda x: F.greatest(x.local_from, local) - x.offset_s))
+    moved = local - F.col("__away")
+    holds = F.filter("__spans", lambda x: (x.local_from < moved + F.col("__span")) & (x.local_to > moved))
+    when = F.array_min(F.transform(F.col("__held"), lambda x: F.greatest(x.local_from, moved) - x.offset_s)) + F.col("__away")
     n = F.size("__held")
     ms = F.when(F.col("__number_ms").isNotNull(), F.col("__number_ms")).when(F.col("__offset_s").isNotNull(), (local - F.col("__offset_s")) * 1000 + F.col("__ms")).otherwise(when * 1000 + F.col("__ms"))
     status = (
