@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm.history import filed, seen_before
+from tidewire.llm.history import HistoryRuns
 from tidewire.llm.near_duplicates import all_pairs, groups, near_duplicates
 from tidewire.llm.repeated_lines import repeated_lines, without_lines
-from tidewire.session import read, spread
+from tidewire.session import read, scratch, spread
 
 _HASHES = ("normalized_content_hash", "canonical_url_hash", "simhash64")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old_hashes, old_bits = filed(read(spark, sf_dir, "dedup_index_v2").select(*_HASHES), *_HASHES)
-    return seen_before(read(spark, sf_dir, "raw_intel_event").select("event_id", *_HASHES), "event_id", old_hashes, old_bits, *_HASHES)
+    """The index is the history, filed as the store's first run; the events are one new batch."""
+    store = HistoryRuns(spark, scratch(spark, "history"))
+    store.append(read(spark, sf_dir, "dedup_index_v2").select(*_HASHES), "index", *_HASHES)
+    return store.match(read(spark, sf_dir, "raw_intel_event").select("event_id", *_HASHES), "event_id", *_HASHES)
 
 
 def _sourced(spark: SparkSession, sf_dir: str) -> DataFrame:
