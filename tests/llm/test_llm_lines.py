@@ -1,6 +1,8 @@
 import random
 
-from tidewire.llm.repeated_lines import CONTAINER, repeated_lines, without_lines
+from tidewire.llm import repeated_lines as module
+from tidewire.llm.repeated_lines import CONTAINER, LineBitmaps, repeated_lines, without_lines
+from tidewire.session import scratch
 
 SCHEMA = "event_id string, source_id string, body string, event_ord bigint, line_no int"
 
@@ -44,3 +46,19 @@ def test_bodies_and_empty(spark):
     out = without_lines(df, repeated_lines(df, "event_id", "source_id", "body", "event_ord"), "event_id", "body")
     assert {(r.event_id, r.body) for r in out.collect()} == {(f"e{i}", f"\nown {'abcdefg'[i]}\r") for i in range(5)} | {("n", None)}
     assert repeated_lines(df.limit(0), "event_id", "source_id", "body", "event_ord").count() == 0
+
+
+def test_variants_unite_and_batches_add_up(spark, monkeypatch):
+    # two variants in one document are one document; five documents over two batches are enough
+    rows = [(f"e{i}", "s", "Share this\nSHARE, this!\nown " + "abcdefgh"[i], i, 0) for i in range(4)] + [("e4", "s", "share 4 this", 4, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    store = LineBitmaps(spark, scratch(spark, "lines"))
+    store.add(df.where("event_ord < 4"), "a", "event_id", "source_id", "body", "event_ord")
+    assert store.find(5, "event_id").count() == 0  # eight occurrences in four documents
+    store.add(df.where("event_ord = 4"), "b", "event_id", "source_id", "body", "event_ord")
+    got = {(r.event_id, r.line_no) for r in store.find(5, "event_id").collect()}
+    assert got == {(f"e{i}", n) for i in range(4) for n in (1, 2)} | {("e4", 1)}
+    assert {tuple(r) for r in store.find(5, "event_id", ["b"]).collect()} == {("e4", 1)}
+    # the bitmaps decide: without their bits nothing is deleted
+    monkeypatch.setattr(module, "united", lambda boxes, real=module.united: real(boxes.where("false")))
+    assert store.find(5, "event_id").count() == 0
