@@ -6,7 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewire.llm.byte_bpe import Codec, default_vocabulary, encode_texts, read_ranks, serialise
-from tidewire.llm.leakage import FMIndex, PHRASE, leaks, plain_words
+from tidewire.session import scratch
+from tidewire.llm.leakage import CorpusIndex, FMIndex, PHRASE, leaks, plain_words, suffix_order
 from tidewire.llm.reading_level import Trees, best_cut, features, fit_grader, isotonic, learn, reading_levels
 
 
@@ -42,15 +43,20 @@ def test_encode_rows(spark, codec):
     assert got == sorted([(1, codec.encode("hello world")), (2, []), (3, []), (3, codec.encode("hello"))])
 
 
-@given(st.lists(st.integers(0, 5), min_size=1, max_size=300), st.lists(st.lists(st.integers(1, 5), min_size=3, max_size=3), min_size=1, max_size=8))
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=300), st.booleans(), st.lists(st.lists(st.integers(1, 5), min_size=3, max_size=3), min_size=1, max_size=8))
 @settings(max_examples=150, deadline=None)
-def test_fm_index_against_scan(words, phrases):
-    text = np.array(words + [0], dtype=np.int64)
-    index = FMIndex(text, 3, depth=3)
-    low, high = index.search(np.array(phrases, dtype=np.int64))
+def test_fm_index_against_scan(words, twice, phrases):
+    text = np.array((words + [0]) * (1 + twice), dtype=np.int64)
+    ends = np.flatnonzero(text == 0)
+    end = lambda i: int(ends[np.searchsorted(ends, i)])
+    suffixes = [([int(x) + len(ends) for x in text[i : end(i)]] + [int(np.searchsorted(ends, i))], i) for i in range(len(text))]
+    assert suffix_order(text).tolist() == [i for _, i in sorted(suffixes)]
+    index = FMIndex(*FMIndex.parts_of(text))
+    phrases = [p for p in phrases if max(p) <= text.max()]
+    low, high = index.search(np.array(phrases, dtype=np.int64).reshape(-1, 3))
     which, at = index.locate(low, high)
     want = {(k, i) for k, p in enumerate(phrases) for i in range(len(text) - 2) if text[i : i + 3].tolist() == p}
-    assert set(zip(which.tolist(), at.tolist())) == want
+    assert len(which) == len(want) and set(zip(which.tolist(), at.tolist())) == want
 
 
 def test_plain_words():
@@ -82,7 +88,7 @@ def test_leaks_against_brute_force(spark):
             if held:
                 want[d, i] = (len(held), len(v))
     df, it = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
-    for kw in ({}, {"block_items": 7, "shard_words": 200}):
+    for kw in ({}, {"block_bytes": 1500, "shard_words": 200}):
         found = leaks(df, "doc_id", "text", it, "item_id", "text", **kw).collect()
         assert {(r.doc_id, r.item_id): (r.held_words, r.item_words) for r in found} == want
         for r in found[:50]:
@@ -91,10 +97,23 @@ def test_leaks_against_brute_force(spark):
             for s in r.spans:
                 span = w[s.from_word : s.to_word]
                 assert any(span[:PHRASE] == inside[k : k + PHRASE] for k in range(len(inside)))
+    # another set of items is searched in the same index, without the corpus; longer phrases too
+    index = CorpusIndex(spark, scratch(spark, "corpus")).build(df, "doc_id", "text", 500)
+    gone = spark.createDataFrame([(7, " ".join(docs[5][1].split()[:20]))], "n bigint, x string")
+    assert 5 in {r.doc_id for r in index.search(gone, "n", "x", "doc_id").collect()}
+    assert {(r.doc_id, r.item_id) for r in index.search(it, "item_id", "text", "doc_id", phrase=30).collect()} < set(want)
     assert leaks(df, "doc_id", "text", it.limit(0), "item_id", "text").count() == 0
     assert leaks(df.limit(0), "doc_id", "text", it, "item_id", "text").count() == 0
 
 
+def test_scripts_without_spaces(spark):
+    passage = "".join(chr(0x4E00 + i * 37 % 900) for i in range(60))
+    df = spark.createDataFrame([(1, "前文" + passage + "后文"), (2, "无关")], "d bigint, t string")
+    it = spark.createDataFrame([(5, passage)], "i bigint, t string")
+    assert leaks(df, "d", "t", it, "i", "t").count() == 0  # by words a clause is one word
+    assert [(r.d, r.held_words) for r in leaks(df, "d", "t", it, "i", "t", phrase=20, unit="characters").collect()] == [(1, 60)]
+
+
 EASY, PLAIN, HARD = (
     lambda r: " ".join(f"The {r.choice(['cat', 'dog', 'hen'])} {r.choice(['sat', 'ran', 'ate'])} on the {r.choice(['mat', 'hill', 'box'])}." for _ in range(12)),
     lambda r: " ".join(f"The {r.choice(['council', 'market', 'village'])} reported {r.randrange(99)} {r.choice(['changes', 'results'])} in the first quarter of the year, and prices stayed open." for _ in range(8)),
