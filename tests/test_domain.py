@@ -73,10 +73,18 @@ def test_decisions_against_one_pass(spark):
     assert got == sequential(rows, before)
 
 
-def test_components_of_a_long_chain(spark):
-    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "a bigint, b bigint")
+def test_components(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (103, 103)], "a bigint, b bigint")
     got = {x.node: x.label for x in components(links).collect()}
-    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100, 103: 103}
+    r = random.Random(3)
+    pairs = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(5, 5)]
+    root = {n: n for p in pairs for n in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    assert {x.node: x.label for x in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()} == root
+    assert components(links.limit(0)).count() == 0
 
 
 def test_symbols(spark):

@@ -42,27 +42,40 @@ def star_links(df: DataFrame, key: str, ord_: str = "ord") -> DataFrame:
     return df.select(key, F.col(ord_).alias("b")).join(first, key).where("a < b").select("a", "b")
 
 
-def components(links: DataFrame, rounds: int = 30) -> DataFrame:
-    """node, label: the least node linked to it through any number of links. Each round takes the least label around and then the
-    label's own label, so chains shorten at least by half; a round's table is checkpointed in the shared folder."""
-    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), eager=True)
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), eager=True)
-    for _ in range(rounds):
-        around = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
-        step = labels.join(around, "node", "left").select("node", F.col("label").alias("was"), F.least("label", F.coalesce("low", "label")).alias("label"))
-        up = step.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        new = cut(step.join(up, "label", "left").select("node", "was", F.coalesce("top", "label").alias("label")), eager=True)
-        labels = new.select("node", "label")
-        if new.where("label <> was").isEmpty():
-            return labels
-    raise RuntimeError("components did not close")
+def components(links: DataFrame) -> DataFrame:
+    """node, label: the least node linked to it through any number of links. In each round every label is hooked to the least label
+    around it, the trees that this makes are folded onto their roots by doubling, and links are moved to the roots; links within a
+    tree are gone then. So labels at least halve, a chain takes one round, and the rounds go on until no link is left."""
+    labels = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
+    edges, rounds = cut(links.select("a", "b").where("a <> b").distinct()), []
+    while not edges.isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = cut(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("x"), F.least("a", "low").alias("y")))
+        while True:
+            twice = up.join(up.select(F.col("x").alias("y"), F.col("y").alias("z")), "y")
+            if twice.where("z <> y").isEmpty():
+                break
+            up = cut(twice.select("x", F.col("z").alias("y")))
+        rounds.append(up)
+        moved = edges.join(up.select(F.col("x").alias("a"), F.col("y").alias("p")), "a").join(up.select(F.col("x").alias("b"), F.col("y").alias("q")), "b")
+        edges = cut(moved.where("p <> q").select(F.col("p").alias("a"), F.col("q").alias("b")).distinct())
+    for up in rounds:
+        labels = labels.join(up.select(F.col("x").alias("label"), F.col("y").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return cut(labels)
+
+
+_ALL = (1 << 64) - 1
+
+
+def _bands_of(bits: int) -> list[tuple[int, int]]:
+    return [(i, (bits & _ALL) >> low & ((1 << n) - 1)) for i, (low, n) in enumerate(_CUTS)]
 
 
 class _Store:
     """What is known while one component is decided."""
 
     def __init__(self) -> None:
-        self.keys, self.by_source, self.by_content, self.kept = set(), {}, {}, []
+        self.keys, self.by_source, self.by_content, self.near, self.kept = set(), {}, {}, {}, 0
 
     def keep(self, r) -> None:
         self.keys.add(r.dedup_key)
@@ -72,7 +85,9 @@ class _Store:
             if r.content is not None:
                 self.by_content[r.content] = r.event_id
             if r.bits:
-                self.kept.append((r.event_id, r.bits))
+                for band in _bands_of(r.bits):
+                    self.near.setdefault(band, []).append((self.kept, r.bits, r.event_id))
+                self.kept += 1
 
     def decide(self, r) -> tuple[str, str | None]:
         if r.dedup_key in self.keys:
@@ -82,8 +97,8 @@ class _Store:
             return ("exact_duplicate" if content == r.content else "update_of_existing"), was
         if r.content in self.by_content:
             return "content_duplicate", self.by_content[r.content]
-        near = next((i for i, b in self.kept if ((b ^ r.bits) & 0xFFFFFFFFFFFFFFFF).bit_count() <= MAX_BITS), None) if r.bits else None
-        return ("near_duplicate", near) if near else ("new", None)
+        near = [x for band in _bands_of(r.bits) for x in self.near.get(band, ()) if ((x[1] ^ r.bits) & _ALL).bit_count() <= MAX_BITS] if r.bits else []
+        return ("near_duplicate", min(near)[2]) if near else ("new", None)
 
 
 def _decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,9 +147,9 @@ def decide(events: DataFrame, ord_: str, bits: str, content: str = "normalized_c
     rows = events.select(F.col(ord_).cast("bigint").alias("ord"), "event_id", "dedup_key", "exact_source_key", F.col(content).alias("content"), F.coalesce(bits, F.lit(0)).cast("bigint").alias("bits"))
     rows = rows.withColumns({"at": F.col("ord"), "fresh": F.lit(True)})
     if known is not None:
-        old = cut(known.select(*_KEYS, F.col("observed_at_ms").alias("at")).withColumn("bits", F.coalesce("bits", F.lit(0))), eager=True)  # numbered below: must not be read anew
+        old = cut(known.select(*_KEYS, F.col("observed_at_ms").alias("at")).withColumn("bits", F.coalesce("bits", F.lit(0))))  # numbered below: must not be read anew
         old = _touched(old, rows).select((F.col("n") - (1 << 62)).alias("ord"), *_KEYS, F.coalesce("at", F.lit(0)).alias("at"), F.lit(False).alias("fresh"))
-        rows = cut(rows.unionByName(old), eager=True)
+        rows = cut(rows.unionByName(old))
     links = star_links(rows, "dedup_key").unionByName(star_links(rows, "exact_source_key")).unionByName(star_links(rows, "content")).unionByName(near_links(rows)).distinct()
     label = components(links)
     tied = rows.join(label, rows["ord"] == label["node"]).drop("node")

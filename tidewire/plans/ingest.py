@@ -46,7 +46,7 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     turns = events.select("source_ord", "source_id").distinct().withColumn("turn", part)  # a registry's sources
     events = events.withColumn("place", place).join(turns, ["source_ord", "source_id"])
     events = events.withColumn("event_ord", F.col("turn").cast("bigint") * (1 << 32) + F.col("place")).drop("turn", "place")
-    events = cut(events, eager=True)
+    events = cut(events)
     decided = decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
     events = events.drop("run_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
     classes = sources.select("source_id", balance_class(F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("balance_class"))

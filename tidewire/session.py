@@ -29,23 +29,25 @@ def build_session(app: str = "tidewire", cpus: str | int = "*", memory: str = "8
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else (tests only) one set before or a fresh temporary one."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else one that was set as checkpoint folder. A local session without
+    either (tests) gets a temporary one; on a cluster that would be no shared folder, so there it is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not known.isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='tidewire-')}")
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
     return known.get()
 
 
-def cut(df: DataFrame, eager: bool = False) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the shared folder; survives the loss of executors."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager)
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage: df as a table written to the shared folder, so it is computed once and survives the loss of executors."""
+    at = scratch(df.sparkSession, "cut")
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
