@@ -51,8 +51,21 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"tidewire-{name}-{uuid.uuid4().hex}")
+    """A new path below the shared folder. Results read it lazily; sweep() removes what a session has made."""
+    at = os.path.join(shared_dir(spark), f"tidewire-{name}-{uuid.uuid4().hex}")
+    sc = spark.sparkContext
+    if not hasattr(sc, "_tidewire_scratch"):
+        sc._tidewire_scratch = []
+    sc._tidewire_scratch.append(at)
+    return at
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes the scratch tables of this session; results that were not read yet are lost with them."""
+    sc = spark.sparkContext
+    while paths := getattr(sc, "_tidewire_scratch", []):
+        p = sc._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -79,7 +92,7 @@ def ship(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     at = os.path.join(folder, f)
                     z.write(at, os.path.join(os.path.basename(root), os.path.relpath(at, root)))
-    path = f"{scratch(spark, 'package')}.zip"
+    path = os.path.join(shared_dir(spark), f"tidewire-package-{uuid.uuid4().hex}.zip")
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True)
     out.write(bytearray(held.getvalue()))
