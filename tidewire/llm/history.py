@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.functions.bitmaps import bit_at
+from tidewire.functions.bitmaps import bitmap_of, marked
 from tidewire.marks import Marks
 from tidewire.session import scratch
 
@@ -100,17 +100,6 @@ def _slot(kind: Column, key: Column) -> Column:
     return F.call_function("shiftleft", kind.cast("bigint"), F.lit(WINDOW_BITS)).bitwiseOR(F.call_function("shiftrightunsigned", key, front))
 
 
-def _windows_of(rows: DataFrame) -> DataFrame:
-    """The bitmap of the windows that rows (slot) lie in: KINDS * 2^22 bits, in at most 2176 strings of 4 KB, whatever the data."""
-    return rows.groupBy(F.shiftright("slot", 15).alias("__bucket")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(32767).cast("bigint"))).alias("__bits"))
-
-
-def _marked(rows: DataFrame, windows: DataFrame, flag: str) -> DataFrame:
-    """Adds a flag that tells rows (slot) whose bit is set."""
-    at = rows.withColumn("__bucket", F.shiftright("slot", 15)).join(F.broadcast(windows), "__bucket", "left")
-    return at.withColumn(flag, bit_at(F.col("__bits"), F.col("slot").bitwiseAND(F.lit(32767).cast("bigint")))).drop("__bucket", "__bits")
-
-
 def _compare(batches: Iterator[pa.RecordBatch], max_bits: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """kind, salt, key, value, bits, fresh in order of range, salt and key -> kind and value (bits as text) of new records that have
     an old one in their window that equals them or differs in at most max_bits. Pairs are made `most` at a time."""
@@ -238,11 +227,11 @@ class HistoryRuns:
         new = self.spark.read.schema("kind int, range int, key bigint, value string, bits bigint, slot bigint").parquet(f"{at}/keys")
         need = [r[0] for r in new.select("range").distinct().collect()]  # at most KINDS * ranges numbers
         old = self.table(need).withColumn("slot", _slot(F.col("kind"), F.col("key")))
-        old = _marked(old, _windows_of(new), "near").where("near").drop("near")
-        hot = _windows_of(old.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT))
+        old = marked(old, bitmap_of(new, "slot"), "slot", "near").where("near").drop("near")  # KINDS * 2^22 bits: 9 MB at most
+        hot = bitmap_of(old.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT), "slot")
         every = F.array(*map(F.lit, range(salts)))
-        old = _marked(old, hot, "hot").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).otherwise(0))
-        new = _marked(new, hot, "hot").withColumn("salt", F.explode(F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))))
+        old = marked(old, hot, "slot", "hot").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).otherwise(0))
+        new = marked(new, hot, "slot", "hot").withColumn("salt", F.explode(F.when(F.col("hot"), every).otherwise(F.array(F.lit(0)))))
         cols = ["kind", "range", "salt", "key", "value", "bits", "fresh"]
         old, new = old.withColumns({"bits": F.lit(None).cast("bigint"), "fresh": F.lit(False)}).select(*cols), new.withColumn("fresh", F.lit(True)).select(*cols)
         merged = old.unionByName(new).repartition("range", "salt").sortWithinPartitions("range", "salt", "key")

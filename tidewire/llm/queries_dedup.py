@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm.history import HistoryRuns
-from tidewire.llm.near_duplicates import all_pairs, groups, near_duplicates
+from tidewire.llm.near_duplicates import NearDuplicates
 from tidewire.llm.repeated_lines import repeated_lines, without_lines
 from tidewire.session import read, scratch, spread
 
@@ -35,18 +35,17 @@ def p5_clean_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_lines(rows.select("event_ord", "event_id", "body"), drop, "event_id", "body")
 
 
-def _stories(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _stories(spark: SparkSession, sf_dir: str) -> NearDuplicates:
     rows = read(spark, sf_dir, "raw_intel_event").where("source_category <> 'funding' or source_category is null").select("event_id", "event_ord", "title", "body")
-    return near_duplicates(spread(rows), "event_id", "event_ord", F.concat_ws("\n", "title", "body"))
+    return NearDuplicates(spread(rows), "event_id", "event_ord", F.concat_ws("\n", "title", "body"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members, links = _stories(spark, sf_dir)
-    return all_pairs(members, links, "event_id")
+    return _stories(spark, sf_dir).all_pairs()
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(*_stories(spark, sf_dir), "event_id")
+    return _stories(spark, sf_dir).classes()
 
 
 QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p5_found": p5_found, "p5_clean_bodies": p5_clean_bodies}
