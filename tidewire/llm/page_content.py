@@ -1,10 +1,12 @@
 """The main body of pages, by removal of each site's template.
 
-A page's text is read as a tree: the page, its blocks, and in them elements: lines, labelled lines (label and value) and rows of
-like cells. Subtrees are hashed in a form free of what varies on a site without meaning (decoration, case, numbers; the value
-below a label; the contents of like cells) and counted per host over distinct stories in Spark. Subtrees that recur over many of
-a host's pages, or over pages of several hosts, are deleted; one that heads a list of teasers takes its list with it. Headings that
-stand before paragraphs on few pages each are the articles' own and stay.
+A page comes as text, not as mark-up, so its tree is shallow: lists below the line that heads them, and lines, labelled lines (label
+and value) and rows of like cells. Subtrees are hashed in a form free of what varies on a site without meaning (decoration, case,
+numbers; the value below a label; the contents of like cells) and counted per host over distinct stories in Spark. Subtrees that
+recur over many of a host's pages, or over pages of several hosts, are deleted; a line that heads a list of teasers takes its list
+with it. Headings that stand before paragraphs on few pages each are the articles' own and stay. No words are listed: what is a
+heading and what a template is told by how often a line recurs and what follows it, and the limits are put into the widest gaps of
+those figures over the collection.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.session import scratch
+from tidewire.session import cut, scratch
 
 _SPACE = re.compile(r"\s+")
 _LEAD = re.compile(r"^(?:[>•*|·»▸►\-–—#]+\s+|\d{1,3}[.)]\s+|[>•*|·»▸►]+)+")
@@ -28,14 +30,8 @@ _INNER = re.compile(r"[.!?。！？][\"”’»」』)\]]*\s+\S")
 _LABEL = re.compile(r"^([^:/|›—]{2,40}?)\s*(: |/ |\| |› |— )\s*(\S.*)$")
 _CELL = re.compile(r"^[+\-−±]?[$€£]?\d[\d.,]*%?$")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
-#: Words of page furniture; they only count for lines that recur and are no sentences.
-_FURNITURE = re.compile(
-    r"advertis|sponsor|promoted|continues? (?:below|after)|comments?\b|\breply|subscri|newsletter|cookie|\bshare\b|\bprint\b|copy link|read more|sign (?:in|up)|log ?in|privacy|terms of|copyright|©|"
-    r"all rights|powered by|get the app|follow us|back to top|skip to|e-?mail this|save for later|listen to",
-    re.I,
-)
 
-SENTENCE, DIGITS, FURNITURE, MARKED, HEADLINE = 1, 2, 4, 8, 16
+SENTENCE, DIGITS, MARKED, HEADLINE = 1, 2, 4, 8
 
 
 def bare(line: str) -> str:
@@ -59,8 +55,6 @@ def read_line(line: str) -> tuple[str, str | None, str | None, int]:
         flags |= SENTENCE
     if any(c.isdigit() for c in t):
         flags |= DIGITS
-    if _FURNITURE.search(t):
-        flags |= FURNITURE
     if _LEAD.match(_SPACE.sub(" ", line).strip()):
         flags |= MARKED
     if not flags & SENTENCE and (len(words) >= 4 or wide >= 6):
@@ -85,20 +79,33 @@ def _hash(text: str) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
+SHORT_LINE, REMEMBERED = 160, 100_000
+
+
+def _trees_of(line: str, known: dict[str, tuple]) -> tuple[str, list[int], int]:
+    """(template, hashes of its subtrees, flags) of a line that is not blank; short lines, most of which recur, are remembered."""
+    found = known.get(line)
+    if found is None:
+        template, label, cells, flags = read_line(line)
+        found = template, [_hash(f"{what} {x}") for what, x in (("line", template), ("label", label), ("cells", cells)) if x is not None], flags
+        if len(line) <= SHORT_LINE:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            known[line] = found
+    return found
+
+
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """rec, host, body -> rec, host, story, line_no, subtrees (hashes), flags, follow: 1 if a sentence comes next, 2 if a headline."""
+    known: dict[str, tuple] = {}
     for batch in batches:
         out: tuple[list, ...] = ([], [], [], [], [], [], [])
         for rec, host, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            rows = []
-            for no, line in enumerate((body or "").split("\n"), 1):
-                if bare(line) or line.strip():
-                    rows.append((no, line, *read_line(line)))
-            longest = max((x[1] for x in rows if x[5] & SENTENCE), key=len, default=None) or max((x[1] for x in rows), key=len, default="")
-            story = _hash("".join(c for c in longest.casefold() if c.isalpha()))
-            for i, (no, _, template, label, cells, flags) in enumerate(rows):
-                after = rows[i + 1][5] if i + 1 < len(rows) else 0
-                trees = [_hash(f"{what} {x}") for what, x in (("line", template), ("label", label), ("cells", cells)) if x is not None]
+            rows = [(no, *_trees_of(line, known)) for no, line in enumerate((body or "").split("\n"), 1) if not line.isspace() and line]
+            longest = max((x[1] for x in rows if x[3] & SENTENCE), key=len, default=None) or max((x[1] for x in rows), key=len, default="")
+            story = _hash("".join(filter(str.isalpha, longest)))
+            for i, (no, _, trees, flags) in enumerate(rows):
+                after = rows[i + 1][3] if i + 1 < len(rows) else 0
                 follow = 1 if after & SENTENCE else 2 if after & HEADLINE else 0
                 for column, v in zip(out, (rec, host, story, no, trees, flags, follow)):
                     column.append(v)
@@ -109,8 +116,34 @@ def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 OWN, TEMPLATE, TEASERS = 1, 2, 3
 
 
-def site_templates(lines: DataFrame, least: int = 3, sentence_rate: float = 0.05, heading_rate: float = 0.12) -> DataFrame:
-    """host, tree and kind of every subtree that recurs: 1 a heading of articles, which stays, 2 template, 3 template that heads teasers."""
+def gap_middle(bins: list[int], least: int) -> float | None:
+    """The middle of the widest stretch between occupied bins; null if none is `least` bins wide."""
+    ends = [(b - a, (a + b + 1) / 2) for a, b in zip(bins, bins[1:])]
+    width, middle = max(ends, default=(0, 0.0))
+    return middle if width >= least else None
+
+
+#: Limits where the figures have no gap: share of a heading's places that text follows, most pages with one heading, least with one template sentence.
+BEFORE_TEXT, HEADING_RATE, SENTENCE_RATE = 0.7, 0.12, 0.05
+
+
+def natural_limits(x: DataFrame, short: Column, sentence: Column) -> tuple[float, float, float]:
+    """The three limits, each in the widest gap of its figure over all recurring subtrees: shares in 32 bins, rates in quarter octaves,
+    so at most some 200 numbers reach the driver."""
+    share, rate = F.col("text_all") / F.col("times_all"), F.floor(4 * F.log2(F.col("n_all") / F.col("pages_all"))).cast("int")
+    seen = x.select("tree", F.floor(share * 32).cast("int").alias("s"), rate.alias("r"), short.alias("short"), sentence.alias("sentence")).dropDuplicates(["tree"])
+    got = seen.groupBy("short", "sentence", "s", "r").agg(F.count(F.lit(1)).alias("n")).collect()
+    cut = gap_middle(sorted({g.s for g in got if g.short and g.s >= 16}), 4)
+    before_text = BEFORE_TEXT if cut is None else cut / 32
+    cut = gap_middle(sorted({g.r for g in got if g.short and g.s >= before_text * 32}), 6)
+    heading = HEADING_RATE if cut is None else 2 ** (cut / 4)
+    cut = gap_middle(sorted({g.r for g in got if g.sentence}), 6)
+    return before_text, heading, SENTENCE_RATE if cut is None else 2 ** (cut / 4)
+
+
+def site_templates(lines: DataFrame, least: int = 3) -> DataFrame:
+    """host, tree and kind of every subtree that recurs on `least` stories of a host or, over hosts, on two more: 1 a heading of
+    articles, which stays, 2 template, 3 template that heads teasers."""
     stories = lines.select("host", "story").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     one = lines.select("host", "story", F.explode("trees").alias("tree"), F.col("trees")[0].alias("own"), "flags", "follow")
     one = one.groupBy("host", "tree", "story").agg(
@@ -122,15 +155,17 @@ def site_templates(lines: DataFrame, least: int = 3, sentence_rate: float = 0.05
     ).join(stories, "host")
     over = by.groupBy("tree").agg(
         F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n_all"), F.sum("pages").alias("pages_all"), F.sum("times").alias("times_all"), F.sum("before_text").alias("text_all"), F.sum("before_line").alias("line_all"),
-    ).where("n_all >= 2")
-    x = by.join(over, "tree")
+    ).where(F.col("n_all") >= least)
+    x = cut(by.join(over, "tree"))
     flag = lambda bit: F.col("flags").bitwiseAND(bit) != 0
+    plain = ~flag(SENTENCE) & ~flag(DIGITS) & (F.col("whole") == 1)
+    before_text, heading_rate, sentence_rate = natural_limits(x, plain, flag(SENTENCE))
     often = (F.col("n") >= least) | ((F.col("hosts") >= 3) & (F.col("n_all") >= least + 2))
     rate = F.greatest(F.col("n") / F.col("pages"), F.when(F.col("hosts") >= 2, F.col("n_all") / F.col("pages_all")).otherwise(0.0))
-    heading = ~flag(DIGITS) & ~flag(FURNITURE) & (F.col("n_all") / F.col("pages_all") <= heading_rate) & (F.col("text_all") >= 0.7 * F.col("times_all")) & (F.col("whole") == 1)
-    cut = F.when(flag(SENTENCE), often & (rate >= sentence_rate)).otherwise((often | (flag(FURNITURE) & (F.col("n_all") >= 2))) & ~heading)
-    teasers = (F.col("line_all") >= 0.5 * F.col("times_all")) & ~flag(SENTENCE) & (F.col("whole") == 1) & ~flag(DIGITS)
-    kind = F.when(cut & teasers, TEASERS).when(cut, TEMPLATE).when(heading & ~flag(SENTENCE), OWN)
+    heading = ~flag(DIGITS) & (F.col("whole") == 1) & (F.col("n_all") / F.col("pages_all") <= heading_rate) & (F.col("text_all") >= before_text * F.col("times_all"))
+    drop = F.when(flag(SENTENCE), often & (rate >= sentence_rate)).otherwise(often & ~heading)
+    teasers = (F.col("line_all") * 2 >= F.col("times_all")) & plain  # what follows it is mostly no text
+    kind = F.when(drop & teasers, TEASERS).when(drop, TEMPLATE).when(heading & ~flag(SENTENCE), OWN)
     return x.select("host", "tree", kind.alias("kind")).where("kind is not null")
 
 
