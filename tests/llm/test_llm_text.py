@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tidewire.llm.byte_bpe import Codec, default_vocabulary, encode_texts, read_ranks, serialise
 from tidewire.session import scratch
 from tidewire.llm.leakage import CorpusIndex, FMIndex, PHRASE, leaks, plain_words, suffix_order
-from tidewire.llm.reading_level import Trees, best_cut, features, fit_grader, isotonic, learn, reading_levels
+from tidewire.llm.reading_level import labelled_features, nested_error, Trees, best_cut, features, fit_grader, isotonic, learn, reading_levels
 
 
 @pytest.fixture(scope="module")
@@ -132,7 +132,9 @@ def test_levels_for_held_out_documents(spark):
     r = random.Random(7)
     labels = spark.createDataFrame([(i, "g", r.choice([1, 2, 3]) if r.random() < 0.05 else lv) for i, _, _, lv in rows if i % 2] + [(1, "h", None), (None, "g", 3)], "doc_id bigint, grader string, reading_level int")
     grader = learn(docs, "doc_id", "text", "source", labels, "doc_id", "reading_level")
-    assert grader.labelled == 120 and grader.error < 0.3
+    assert grader.labelled == 120
+    error, wrong = nested_error(*labelled_features(df, "doc_id", "text", "source", labels, "doc_id", "level"))
+    assert error < 0.3 and wrong < 0.2
     got = {x.doc_id: x.level for x in reading_levels(docs, "doc_id", "text", grader).collect()}
     assert not {1000, 1001, 1002} & set(got) and got[1003] == 3
     held_out = [(i, lv) for i, _, _, lv in rows if i % 2 == 0]

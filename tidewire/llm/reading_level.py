@@ -1,8 +1,10 @@
 """Reading level of English documents, on a graders' scale.
 
-Features of length, vocabulary, syntax and cohesion are read from each whole text; gradient-boosted regression trees are fitted to
-the graders' mean level of a bounded number of labelled documents; predictions for documents of held-out sources calibrate the
-grade (isotonic) and give its error. Fitting uses at most max_labels documents on the driver; everything else covers all rows.
+Features of length, vocabulary, syntax and cohesion, most of them of the distribution over a text's sentences, are read from each whole
+text; gradient-boosted regression trees are fitted to the graders' mean level of a bounded number of labelled documents; predictions
+for documents of held-out sources calibrate the grade (isotonic) and place the cuts between levels. The error is measured apart, on
+sources that neither trees nor calibration have seen (nested_error). Fitting uses at most max_labels documents on the driver: 20 000 by
+default, of 33 numbers each, some 6 MB; everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -58,14 +60,16 @@ def features(text: str | None) -> np.ndarray | None:
     at_least = lambda k: sum([c for size, c in by_size.items() if size >= k]) / n
     sentences = [s for s in _SENTENCE.split(low) if s and not s.isspace()] or [low]
     m = len(sentences)
-    lengths, overlap, last = [], 0.0, None
+    lengths, clauses, overlaps, last = [], [], [], None
     for s in sentences:
         parts = s.split()
         lengths.append(len(parts))
+        clauses.append(s.count(",") + s.count(";"))
         own = {w for w in parts if len(w) > 3}
-        if last:
-            overlap += len(own & last) / max(1, min(len(own), len(last)))
+        if last is not None:
+            overlaps.append(len(own & last) / max(1, min(len(own), len(last))))
         last = own
+    overlap, clause = sum(overlaps) / max(1, len(overlaps)), sum(clauses) / m
     lengths.sort()
     total_length, mean_length = sum(lengths), sum(lengths) / m
     long = sum([x for x in lengths if x > 30])
@@ -82,7 +86,9 @@ def features(text: str | None) -> np.ndarray | None:
         rate(","), rate(";") + rate(":"), rate("?") + rate("!"), rate("“") + rate('"'), rate("-"), without(b"0123456789") / chars,
         without(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") / chars, english / n, total(SUBORDINATE) / n, total(PRONOUNS) / n, total(CONNECTIVES) / n, syllables / n,
         sum([x > 30 for x in lengths]) / m, long / max(1, total_length), clean.count(",") / n,
-        0.39 * mean + 11.8 * syllables / n - 15.59, overlap / max(1, m - 1),
+        0.39 * mean + 11.8 * syllables / n - 15.59, overlap,
+        (sum([(x - overlap) ** 2 for x in overlaps]) / max(1, len(overlaps))) ** 0.5, sum([x == 0 for x in overlaps]) / max(1, len(overlaps)),
+        (sum([(x - clause) ** 2 for x in clauses]) / m) ** 0.5, max(clauses),
     ], dtype=float)
 
 
@@ -159,7 +165,6 @@ class Grader:
     knots: tuple[np.ndarray, np.ndarray]
     cuts: np.ndarray  # grade from which each next level is read, least level first
     levels: np.ndarray
-    error: float  # mean absolute error of calibrated grades for held-out sources
     labelled: int
 
     def grade(self, x: np.ndarray) -> np.ndarray:
@@ -195,7 +200,20 @@ def fit_grader(x: np.ndarray, y: np.ndarray, weight: np.ndarray, source: np.ndar
     held_out = np.interp(raw, *knots)
     levels = np.arange(int(np.floor(y.min())), int(np.ceil(y.max())) + 1, dtype=np.int32)
     cuts = np.array([best_cut(held_out, y > (a + b) / 2, weight) for a, b in zip(levels, levels[1:])])
-    return Grader(trees, knots, np.maximum.accumulate(cuts), levels, float(np.abs(held_out - y).mean()), len(y))
+    return Grader(trees, knots, np.maximum.accumulate(cuts), levels, len(y))
+
+
+def nested_error(x: np.ndarray, y: np.ndarray, weight: np.ndarray, source: np.ndarray, folds: int = 5) -> tuple[float, float]:
+    """(mean absolute error of the grade, share of wrong levels) over documents of sources that were left out of everything: of each
+    outer fold of whole sources, grades by a grader that was fitted and calibrated on the others."""
+    fold = np.searchsorted(np.unique(source), source) % max(2, min(folds, len(np.unique(source))))
+    off, wrong = [], []
+    for k in np.unique(fold):
+        rest, mine = fold != k, fold == k
+        grade = (grader := fit_grader(x[rest], y[rest], weight[rest], source[rest], folds)).grade(x[mine])
+        off.append(np.abs(grade - y[mine]))
+        wrong.append(grader.level(grade) != np.rint(y[mine]))
+    return float(np.concatenate(off).mean()), float(np.concatenate(wrong).mean())
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +225,9 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([part.column(0), flat, *[part.column(i) for i in range(2, batch.num_columns)]], names=["key", "x", *batch.schema.names[2:]])
 
 
-def learn(docs: DataFrame, key: str, text: str, source: str, labels: DataFrame, label_key: str, level: str, max_labels: int = MAX_LABELS) -> Grader | None:
-    """A grader from the graders' mean level of each labelled English document; null levels don't count. At most max_labels
-    documents (those with the smallest hash of the key), so what is joined by broadcast and collected is bounded. None without labels."""
+def labelled_features(docs: DataFrame, key: str, text: str, source: str, labels: DataFrame, label_key: str, level: str, max_labels: int = MAX_LABELS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Features, mean level, number of labels and source of each labelled English document; null levels don't count. At most
+    max_labels documents (those with the smallest hash of the key), so what is joined by broadcast and collected is bounded."""
     by = labels.where(F.col(label_key).isNotNull() & F.col(level).isNotNull()).groupBy(F.col(label_key).alias("__k")).agg(F.avg(level).alias("__y"), F.count(F.lit(1)).alias("__w"))
     by = by.orderBy(F.xxhash64("__k"), "__k").limit(max_labels)
     kind = docs.schema[key].dataType.simpleString()
@@ -218,7 +236,13 @@ def learn(docs: DataFrame, key: str, text: str, source: str, labels: DataFrame,
     if not len(rows):
         return None
     rows = rows.sort_values("key")
-    return fit_grader(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(float), rows["w"].to_numpy(float), rows["source"].to_numpy(str))
+    return np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(float), rows["w"].to_numpy(float), rows["source"].to_numpy(str)
+
+
+def learn(docs: DataFrame, key: str, text: str, source: str, labels: DataFrame, label_key: str, level: str, max_labels: int = MAX_LABELS) -> Grader | None:
+    """A grader of labelled_features; none without labels."""
+    rows = labelled_features(docs, key, text, source, labels, label_key, level, max_labels)
+    return None if rows is None else fit_grader(*rows)
 
 
 def reading_levels(docs: DataFrame, key: str, text: str, grader: Grader | None) -> DataFrame:
