@@ -133,7 +133,7 @@ def test_levels_for_held_out_documents(spark):
     labels = spark.createDataFrame([(i, "g", r.choice([1, 2, 3]) if r.random() < 0.05 else lv) for i, _, _, lv in rows if i % 2] + [(1, "h", None), (None, "g", 3)], "doc_id bigint, grader string, reading_level int")
     grader = learn(docs, "doc_id", "text", "source", labels, "doc_id", "reading_level")
     assert grader.labelled == 120
-    error, wrong = nested_error(*labelled_features(df, "doc_id", "text", "source", labels, "doc_id", "level"))
+    error, wrong = nested_error(*labelled_features(docs, "doc_id", "text", "source", labels, "doc_id", "reading_level"))
     assert error < 0.3 and wrong < 0.2
     got = {x.doc_id: x.level for x in reading_levels(docs, "doc_id", "text", grader).collect()}
     assert not {1000, 1001, 1002} & set(got) and got[1003] == 3
