@@ -161,13 +161,14 @@ class Candidates:
         first = marked(first, bitmap_of(sampled, "slot"), "slot", "hot").drop("slot")
         cold = first.where("not hot").drop("hot").repartition("i", "ka")  # pairs with second half-keys are formed where the rows then lie
         spread = first.where("hot").select("no", "n", "s1", "s2", "i", "ka", F.posexplode("b").alias("j", "kb"))
-        by = [self._buckets(x) for x in (cold.select("no", "n", "s1", "s2", "i", "ka", F.posexplode("b").alias("j", "kb")), spread)]
-        two = [x.where((F.col("c") == 2) & self._fit(F.col("n_lo"), F.col("n_hi")) & (_differing(F.col("x1")) + _differing(F.col("x2")) <= self.far)).select("no_a", "no_b") for x in by]
-        large = [x.where("c > 2").select(*_BUCKET, "c") for x in by]
-        rows = ["no", "n", "s1", "s2", *_BUCKET, "c"]
-        many = cold.join(large[0].hint("merge"), ["i", "ka"]).where(F.element_at("b", F.col("j") + 1) == F.col("kb")).select(*rows)
-        many = many.unionByName(spread.join(large[1], _BUCKET).select(*rows))
-        self.two, self.many = cut(two[0].unionByName(two[1]).distinct()), cut(many)
+        cells = cold.select("no", "n", "s1", "s2", "i", "ka", F.posexplode("b").alias("j", "kb"))
+        by = self._buckets(cells).withColumn("hot", F.lit(False)).unionByName(self._buckets(spread).withColumn("hot", F.lit(True)))
+        alike = self._fit(F.col("n_lo"), F.col("n_hi")) & (_differing(F.col("x1")) + _differing(F.col("x2")) <= self.far)
+        by = cut(by.where((F.col("c") > 2) | ((F.col("c") == 2) & alike)).select(*_BUCKET, "c", "hot", "no_a", "no_b"))
+        rows, large = ["no", "n", "s1", "s2", *_BUCKET, "c"], by.where("c > 2").select(*_BUCKET, "c", "hot")
+        many = cold.join(large.where("not hot").hint("merge"), ["i", "ka"]).where(F.element_at("b", F.col("j") + 1) == F.col("kb")).select(*rows)
+        self.many = cut(many.unionByName(spread.join(large.where("hot"), _BUCKET).select(*rows)))
+        self.two = by.where("c = 2").select("no_a", "no_b").distinct()
 
     @staticmethod
     def _buckets(cells: DataFrame) -> DataFrame:
