@@ -68,6 +68,11 @@ def selection_seed(source_id: Column, at_ms: Column) -> Column:
     return ((source_offset(source_id) + slot) % F.lit("18446744073709551616").cast("decimal(38,0)")).cast("decimal(20,0)")
 
 
+def static_priority(assets: DataFrame, order: str, preferred: Column) -> DataFrame:
+    """Adds priority from 1: preferred assets first, each kind in order. Assets are a registry, sorted in one task."""
+    return assets.withColumn("priority", F.row_number().over(Window.orderBy(F.when(preferred, 0).otherwise(1), order)))
+
+
 def rotated_priority(assets: DataFrame, order: str, preferred: Column, seed: Column | int, each: tuple[str, ...] = ()) -> DataFrame:
     """Adds priority from 1: preferred and other assets, each in order and turned left by seed, taken in turn, within the groups of
     `each`. Assets are a registry."""

@@ -105,8 +105,38 @@ def diagnosis(covered: DataFrame, focus: DataFrame) -> DataFrame:
         n(asked & none).alias("focus_without_inventory"), n(inside & (F.col("enabled_direct") == 0)).alias("assets_without_direct"),
     )
     verdict = (
-        F.when(F.col("outside_universe") > 0, "RECONCILE_CANDIDATE_GAP_UNIVERSE").when((F.col("focus_symbols") > 0) & (F.col("focus_direct") == F.col("focus_symbols")), "PASS_CANDIDATE_GAP_DIAGNOSIS")
+        F.when(F.col("outside_universe") > 0, "RECONCILE_CANDIDATE_GAP_UNIVERSE").when(F.col("focus_symbols") == 0, "PASS_CANDIDATE_GAP_DIAGNOSIS")
         .when(F.col("focus_available") > 0, "INSPECT_CANDIDATE_SOURCE_ACTIVATION_BLOCKERS").when(F.col("focus_without_inventory") > 0, "ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY")
         .when(F.col("assets_without_direct") > 0, "EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE").otherwise("NO_SOURCE_COVERAGE_GAP_DETECTED")
     )
     return out.withColumn("verdict", verdict)
+
+
+DETAIL = ("source_id", "source_name", "source_url", "source_category", "fetch_method", "trust_tier", "activation_blocker")
+
+
+def available_sources(assets: DataFrame, sources: DataFrame) -> DataFrame:
+    """asset, available_ids (of all available disabled sources that apply) and available_direct (details of those that name the asset,
+    by id; of equal ids, which a sound registry has not, the greatest row), sorted. Assets without any have empty arrays."""
+    off = applies(assets, sources).where("not enabled and source_state = 'available_disabled'")
+    detail = sources.groupBy("source_id").agg(F.max(F.struct(*DETAIL)).alias("d"))
+    by = off.join(detail, "source_id").groupBy("asset").agg(F.array_sort(F.collect_set("source_id")).alias("ids"), F.array_sort(F.collect_set(F.when(F.col("direct"), F.col("d")))).alias("own"))
+    none = F.array().cast("array<string>")
+    own = F.array().cast(f"array<struct<{','.join(f'{c}:string' for c in DETAIL)}>>")
+    return assets.select("asset").join(by, "asset", "left").select("asset", F.coalesce("ids", none).alias("available_ids"), F.coalesce("own", own).alias("available_direct"))
+
+
+def diagnosis_records(covered: DataFrame) -> DataFrame:
+    """The records of coverage() with the gaps that a diagnosis looks for: no enabled direct source, no available direct one, no
+    enabled global one."""
+    gaps = F.array(
+        F.when(F.col("enabled_direct") == 0, "missing_enabled_asset_specific_source"), F.when(F.col("disabled_direct") == 0, "missing_available_disabled_asset_source_inventory"),
+        F.when(F.col("enabled_global") == 0, "missing_global_news_source"),
+    )
+    return covered.withColumn("quality_gaps", F.array_compact(gaps))
+
+
+def activation_review(assets: DataFrame, sources: DataFrame, focus: DataFrame) -> DataFrame:
+    """asset and details of each available source of focus symbols that no enabled source names: what is to be probed first."""
+    covered = coverage(assets, sources).where("enabled_direct = 0 and disabled_direct > 0").join(focus.select("asset").distinct(), "asset", "left_semi").select("asset")
+    return available_sources(assets, sources).join(covered, "asset", "left_semi").select("asset", F.inline("available_direct"))

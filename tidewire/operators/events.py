@@ -18,6 +18,13 @@ INTEREST, INTEREST_RECENT = "perp_open_interest", "perp_open_interest_recent"
 HINTS = {"governance": "governance_update", "developer_activity": "developer_release", "project_notice": "project_notice", "social": "community_reaction", "news": "news_article", "exchange_notice": "exchange_notice", "funding": "derivatives_snapshot"}
 KINDS = {"governance": "governance_update", "developer_activity": "developer_activity", "project_notice": "project_notice", "social": "community_reaction", "news": "news_article", "exchange_notice": "exchange_notice", "funding": "derivatives_snapshot"}
 SHORT_CHARS = 120
+#: The fields of an event, in order.
+EVENT_FIELDS = (
+    "event_id", "source_id", "source_category", "source_name", "fetched_at_ms", "published_at_ms", "observed_at_ms", "language", "title", "body", "url", "author_or_channel", "trust_tier", "cadence_tier", "content_hash", "dedup_key",
+    "exact_source_key", "canonical_url", "canonical_url_hash", "normalized_content_hash", "simhash64", "dedup_decision", "duplicate_of_event_id", "symbol_candidates", "event_category_hint", "top50_relevance", "content_kind",
+    "content_quality", "content_quality_score", "source_quality", "source_relevance_scope", "direct_asset_count", "matched_asset_count", "historical_source_depth", "backfill_window_start_ms", "backfill_window_end_ms",
+    "source_time_range_verified", "schema_version",
+)
 
 
 def _cases(of: Column, table: dict[str, str], other: str) -> Column:
@@ -97,6 +104,9 @@ def build_events(items: DataFrame, sources: DataFrame, universe: DataFrame, fetc
     src = sources.select("source_id", "source_category", "source_name", "fetch_method", "adapter", "trust_tier", "cadence_tier", "language_hint", "top50_relevance_mode", "applies_mode", "applies_assets")
     given = lambda c: F.col(c) if c in items.columns else F.lit(None).cast("string")
     fetched = fetched_at_ms if isinstance(fetched_at_ms, Column) else F.lit(fetched_at_ms)
+    window = {c: (F.col(c) if c in items.columns else F.lit(None)).cast("bigint") for c in ("backfill_window_start_ms", "backfill_window_end_ms")}
+    verified = F.coalesce(F.col("source_time_range_verified"), F.lit(False)) if "source_time_range_verified" in items.columns else F.lit(False)
+    items = items.withColumns(window | {"source_time_range_verified": verified, "dedup_decision": F.lit("new"), "duplicate_of_event_id": F.lit(None).cast("string")})
     items = items.withColumns({"published_at_ms": parse_published_at_ms(given("published_at")), "author_or_channel": given("author"), "fetched_at_ms": fetched.cast("bigint")})
     df = items.withColumns({"title": clean_text(F.coalesce("title", F.lit(""))), "body": clean_text(F.coalesce("body", F.lit("")))}).join(src, "source_id")
     match = symbol_matcher(universe)

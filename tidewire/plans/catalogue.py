@@ -1,7 +1,7 @@
 """All queries outside the subpackage llm, by name, with their SQL."""
 
-from tidewire.plans import domain, problems, texts
+from tidewire.plans import domain, problems, runs, texts
 
 FLAGSHIP = "p4_hourly_figures"
-QUERIES = {**texts.QUERIES, **domain.QUERIES, **problems.QUERIES}
-SQL = {**texts.SQL, **domain.SQL, **problems.SQL}
+QUERIES = {**texts.QUERIES, **domain.QUERIES, **runs.QUERIES, **problems.QUERIES}
+SQL = {**texts.SQL, **domain.SQL, **runs.SQL, **problems.SQL}

@@ -336,7 +336,7 @@ rn % 1000 + 1 AS line_number, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY
   FROM universe_asset a LEFT JOIN intel_source s ON s.applies_mode = 'list' AND list_contains(s.applies_assets, a.asset) GROUP BY ALL),
 y AS (SELECT count(*) AS assets, count(*) FILTER (focus) AS focus_symbols, 0::BIGINT AS outside_universe, count(*) FILTER (focus AND ed > 0) AS focus_direct, count(*) FILTER (focus AND ed = 0 AND dd > 0) AS focus_available,
   count(*) FILTER (focus AND ed = 0 AND dd = 0) AS focus_without_inventory, count(*) FILTER (ed = 0) AS assets_without_direct FROM x)
-SELECT *, CASE WHEN focus_symbols > 0 AND focus_direct = focus_symbols THEN 'PASS_CANDIDATE_GAP_DIAGNOSIS' WHEN focus_available > 0 THEN 'INSPECT_CANDIDATE_SOURCE_ACTIVATION_BLOCKERS'
+SELECT *, CASE WHEN focus_symbols = 0 THEN 'PASS_CANDIDATE_GAP_DIAGNOSIS' WHEN focus_available > 0 THEN 'INSPECT_CANDIDATE_SOURCE_ACTIVATION_BLOCKERS'
   WHEN focus_without_inventory > 0 THEN 'ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY' WHEN assets_without_direct > 0 THEN 'EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE' ELSE 'NO_SOURCE_COVERAGE_GAP_DETECTED' END AS verdict FROM y""",
     "partition_manifest": f"""WITH {_located(1000)}, o AS (SELECT dt || '/' || hour || '/' || source_category || '/' || source_id || '/' || part AS object_key, count(*) AS record_count, sum(byte_length + 1)::BIGINT AS byte_count FROM q GROUP BY 1)
 SELECT *, (SELECT count(*) FROM o) AS uploaded_object_count FROM o""",

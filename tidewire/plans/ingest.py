@@ -20,13 +20,15 @@ from tidewire.sources.registry import manual_backfill
 
 @dataclass(frozen=True)
 class Run:
-    """What a run is given. caps: events admitted of a class of sources; chunk: records of one stored object."""
+    """What a run is given. caps: events admitted of a class of sources; chunk: records of one stored object; in a dry run
+    every event counts as new."""
 
     run_id: str
     now_ms: int
     bucket: str
     caps: dict[str, int]
     chunk: int = 1000
+    dry: bool = False
 
 
 def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: DataFrame | None, run: Run) -> tuple[DataFrame, DataFrame]:
@@ -47,8 +49,9 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     events = events.withColumn("place", place).join(turns, ["source_ord", "source_id"])
     events = events.withColumn("event_ord", F.col("turn").cast("bigint") * (1 << 32) + F.col("place")).drop("turn", "place")
     events = cut(events)
-    decided = decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
-    events = events.drop("run_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
+    new = events.select(F.col("event_ord").alias("ord"), F.lit("new").alias("dedup_decision"), F.lit(None).cast("string").alias("duplicate_of_event_id"))
+    decided = new if run.dry else decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
+    events = events.drop("run_id", "dedup_decision", "duplicate_of_event_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
     classes = sources.select("source_id", balance_class(F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("balance_class"))
     events = events.join(F.broadcast(classes), "source_id")  # a registry
     passed = admit(events.where(~skipped(F.col("dedup_decision"))), "run_id", "balance_class", ["event_ord"], run.caps)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
-from tidewire.operators.admission import first_items, rotated_priority, selection_seed
+from tidewire.operators.admission import first_items, rotated_priority, selection_seed, static_priority
 
 LIST_SCHEMA = "code string, data struct<catalogs: array<struct<catalogId: bigint, catalogName: string, articles: array<struct<id: bigint, code: string, title: string, releaseDate: bigint>>>>>"
 RATE_SCHEMA = "symbol string, fundingRate string, fundingTime bigint, markPrice string"
@@ -29,6 +29,23 @@ def announcements(payloads: DataFrame, key: str, payload: str, most: int = 50) -
     return listed.select(key, F.posexplode("x").alias("item_ord", "x")).select(key, "item_ord", "x.i.*")
 
 
+#: Fixed values of items made of announcements.
+NOTICE_AUTHOR, NOTICE_URL = "Binance", "https://www.binance.com/en/support/announcement/detail/"
+DETAIL_SCHEMA = "code string, data struct<body: string>"
+
+
+def notice_items(payloads: DataFrame, details: DataFrame, key: str, payload: str, most: int = 50) -> DataFrame:
+    """`key` and item fields of announcement lists: the body is the text of the article's detail (article_code, detail), and where
+    that is missing, damaged or blank, the article's own data. Details are joined by code; lists that failed have no items."""
+    rows = payloads.select(key, F.from_json(payload, LIST_SCHEMA).alias("p")).where("p.code = '000000'")
+    rows = rows.select(key, F.posexplode("p.data.catalogs").alias("c_ord", "c")).select(key, "c_ord", "c", F.posexplode("c.articles").alias("a_ord", "a"))
+    own = F.to_json(F.struct(F.col("a.code").alias("article_code"), F.col("a.id").alias("article_id"), F.col("c.catalogId").alias("catalog_id"), F.col("c.catalogName").alias("catalog_name"), F.col(key).alias("source_id")), {"ignoreNullFields": "false"})
+    d = F.from_json("detail", DETAIL_SCHEMA)
+    texts = details.select(F.col("article_code").alias("__code"), rich_text_column(F.when(d.code == "000000", d.data.body)).alias("__text")).where("__text is not null").groupBy("__code").agg(F.min("__text").alias("__text"))
+    listed = rows.join(texts, F.col("a.code") == F.col("__code"), "left").withColumn("item_ord", F.row_number().over(Window.partitionBy(key).orderBy("c_ord", "a_ord")) - 1).where(F.col("item_ord") < most)
+    return listed.select(key, "item_ord", F.col("a.code").alias("id"), F.col("a.title").alias("title"), F.coalesce("__text", own).alias("body"), F.concat(F.lit(NOTICE_URL), "a.code").alias("url"), F.lit(NOTICE_AUTHOR).alias("author"), F.col("a.releaseDate").cast("string").alias("published_at"))
+
+
 def rich_text(body: str | None) -> str | None:
     """The text nodes of a JSON document joined in order: a node before its children, children by key, lists as they stand."""
     try:
@@ -134,8 +151,7 @@ def rest_items(payloads: DataFrame, sources: DataFrame, assets: DataFrame, prefe
 
     live = src.where("__kind in ('rate', 'interest')").select("source_id", selection_seed(F.col("source_id"), F.lit(at_ms)).alias("__seed"))
     live = rotated_priority(live.crossJoin(F.broadcast(assets)), "asset", preferred, F.col("__seed"), ("source_id",))
-    static = assets.withColumn("priority", F.row_number().over(Window.orderBy(F.when(preferred, 0).otherwise(1), "asset")))
-    fixed = src.where("__kind = 'history'").select("source_id").crossJoin(F.broadcast(static))
+    fixed = src.where("__kind = 'history'").select("source_id").crossJoin(F.broadcast(static_priority(assets, "asset", preferred)))
     cols = ["source_id", F.col("reference_symbol_native").alias("symbol"), "priority"]
     ranks = live.select(*cols).unionByName(fixed.select(*cols))
     asked = payloads.join(F.broadcast(src), "source_id").join(ranks, ["source_id", "symbol"]).where((F.col("__kind") == "history") | (F.col("priority") <= F.col("__limit")))

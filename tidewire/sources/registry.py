@@ -36,6 +36,14 @@ def selected_sources(sources: DataFrame, source_id: str | None = None) -> DataFr
     return sources.where((F.col("source_id") == source_id) & (F.col("enabled") | manual_backfill()))
 
 
+def required_source(sources: DataFrame, source_id: str) -> DataFrame:
+    """The one source asked for; an error if the registry has none that may run."""
+    found = selected_sources(sources, source_id)
+    if found.isEmpty():
+        raise ValueError(f"source {source_id} is not enabled or does not exist")
+    return found
+
+
 def due_sources(sources: DataFrame, states: DataFrame, now_ms: Column, manual: bool = False) -> DataFrame:
     """Adds gate: skip_backoff while a source backs off (also in a manual run), skip_cadence before its interval is over, else due.
     States (source_id, backoff_until_ms, last_success_at_ms) are one row a source; sources without one are due."""
