@@ -1,7 +1,10 @@
 import random
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidewire.operators import symbols
 from tidewire.operators.admission import admit, first_items, rotated_priority
 from tidewire.operators.coverage import coverage, registry_violations
 from tidewire.operators.decisions import MAX_BITS, components, decide
@@ -87,7 +90,15 @@ def test_components(spark):
     assert components(links.limit(0)).count() == 0
 
 
-def test_symbols(spark):
+@pytest.mark.parametrize("way", ["automaton", "no library", "blocks"])
+def test_symbols(spark, monkeypatch, way):
+    if way == "no library":
+        monkeypatch.setitem(sys.modules, "ahocorasick", None)
+        find = symbols._finder([("KELP", "KELP"), ("KELP", "KELP-USDT"), ("CHIP", "(CHIP)"), ("Q", "$Q")])
+        assert [find(t) for t in ("A KELP-USDT", "KELPS $Q", "3KELP", "X(CHIP)", " (CHIP)!", "")] == [["KELP"], ["Q"], [], [], ["CHIP"], []]
+        return
+    if way == "blocks":
+        monkeypatch.setattr(symbols, "BLOCK_ALIASES", 4)
     u = spark.createDataFrame([("KELP", "KELPUSDT"), ("HIVE", "HIVEUSDT"), ("CHIP", "CHIPUSDT"), ("Q", "QUSDT")], "asset string, reference_symbol_native string")
     match = symbol_matcher(u)
     texts = ["Divers gather kelp.", "quay, Q and A", "a hive of bees", "one chip (CHIP) more", "$hive", "CHIPUSDT,KELP-USDT", "kelps", "3kelp", "KELP비트", "[q] beside $Q", "", None]

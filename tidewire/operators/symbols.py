@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,7 +11,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 #: Assets whose bare name is an everyday word; they only count when marked or by their pair.
 WORDLIKE = ("BIO", "CHIP", "DASH", "DOGS", "HIVE", "MEGA", "NEAR", "NOT", "TON", "TRUMP")
-MAX_ALIASES = 200_000  # of a universe; more would need another plan than an automaton in each worker
+BLOCK_ALIASES = 200_000  # aliases of one automaton; a larger universe is matched block by block
 
 
 def alias_table(universe: DataFrame) -> DataFrame:
@@ -35,8 +34,14 @@ def _finder(aliases: list[tuple[str, str]]) -> Callable[[str], list[str]]:
     try:
         import ahocorasick
     except ImportError:
-        tests = [(re.compile(f"(?<![0-9A-Za-z]){re.escape(k)}(?![0-9A-Za-z])"), v) for k, v in by.items()]
-        return lambda text: sorted({a for t, v in tests if t.search(text) for a in v})
+        sizes = sorted({len(k) for k in by})
+
+        def look_up(text: str) -> list[str]:
+            """Every place that no letter or digit stands before, by each length that an alias has."""
+            starts = [i for i in range(len(text)) if i == 0 or text[i - 1] not in alnum]
+            return sorted({a for i in starts for n in sizes if i + n <= len(text) for a in by.get(text[i : i + n], ()) if free(text, i, i + n)})
+
+        return look_up
     machine = ahocorasick.Automaton()
     for k, v in by.items():
         machine.add_word(k, (len(k), v))
@@ -57,18 +62,20 @@ def _finder(aliases: list[tuple[str, str]]) -> Callable[[str], list[str]]:
 def symbol_matcher(universe: DataFrame) -> Callable[[Column], Column]:
     """A column function: haystack -> sorted distinct assets named in it as wholes (no ASCII letter or digit on either side).
 
-    The universe is a registry kept by hand; its aliases are collected after their number is checked against MAX_ALIASES.
+    The universe is a registry kept by hand, so its aliases are collected; they go to the workers in blocks of BLOCK_ALIASES, each
+    with an automaton of its own, however many there are.
     """
-    table = alias_table(universe)
-    rows = table.limit(MAX_ALIASES + 1).collect()
-    if len(rows) > MAX_ALIASES:
-        raise ValueError(f"more than {MAX_ALIASES} aliases")
-    aliases = [(r.asset, r.alias) for r in rows]
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def match(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = _finder(aliases)
-        for s in series:
-            yield s.map(lambda t: find(t) if t else [])
-
-    return match
+    aliases = [(r.asset, r.alias) for r in alias_table(universe).toLocalIterator()]
+    blocks = [aliases[i : i + BLOCK_ALIASES] for i in range(0, max(1, len(aliases)), BLOCK_ALIASES)]
+
+    def matcher(block: list[tuple[str, str]]):
+        @F.pandas_udf(ArrayType(StringType()))
+        def match(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            find = _finder(block)
+            for s in series:
+                yield s.map(lambda t: find(t) if t else [])
+
+        return match
+
+    one, *more = [matcher(b) for b in blocks]
+    return (lambda text: F.array_sort(F.array_distinct(F.flatten(F.array(*[m(text) for m in (one, *more)]))))) if more else one

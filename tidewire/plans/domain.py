@@ -28,7 +28,7 @@ def symbol_match(spark: SparkSession, d: str) -> DataFrame:
 
 def event_classification(spark: SparkSession, d: str) -> DataFrame:
     src = read(spark, d, "intel_source").select("source_id", "adapter", "fetch_method", "top50_relevance_mode", F.col("trust_tier").alias("tier"), F.col("source_category").alias("category"))
-    df = read(spark, d, "raw_intel_event").join(F.broadcast(src), "source_id")  # a registry, fixed in size
+    df = read(spark, d, "raw_intel_event").join(src, "source_id")
     direct, matched = F.col("direct_asset_count"), F.col("matched_asset_count")
     quality = content_quality(F.col("category"), F.coalesce("body", F.lit("")))
     return df.select(
@@ -39,7 +39,7 @@ def event_classification(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topk_per_source(spark: SparkSession, d: str) -> DataFrame:
-    src = F.broadcast(read(spark, d, "intel_source").select("source_id", F.least(F.coalesce("max_items_per_run", F.lit(50)), F.lit(50)).alias("k")))
+    src = read(spark, d, "intel_source").select("source_id", F.least(F.coalesce("max_items_per_run", F.lit(50)), F.lit(50)).alias("k"))
     items = read(spark, d, "feed_item").select("item_key", "source_id", "run_id", "item_ord").withColumn("feed", F.concat_ws("/", "run_id", "source_id")).join(src, "source_id")
     return first_items(items, "feed", ["item_ord", "item_key"], F.col("k")).select("item_key", "source_id", "run_id", "item_ord")
 

@@ -40,7 +40,7 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     # ranked by keys alone, so that texts are not shuffled for it
     feed = [c for c in ("source_id", "run_id") if c in items.columns]
     places = items.groupBy("item_key").agg(F.min(F.struct(*feed, "item_ord")).alias("__at")).select("item_key", "__at.item_ord", "__at.source_id", F.struct(*[F.col(f"__at.{c}") for c in feed]).alias("__feed"))
-    taken = first_items(places.join(F.broadcast(limits), "source_id"), "__feed", ["item_ord", "item_key"], F.col("__limit"))
+    taken = first_items(places.join(limits, "source_id"), "__feed", ["item_ord", "item_key"], F.col("__limit"))
     items = items.dropDuplicates(["item_key"]).join(taken.select("item_key"), "item_key", "left_semi")
     events = build_events(items, sources, universe, run.now_ms)
     place = F.row_number().over(Window.partitionBy("source_ord", "source_id").orderBy("item_ord", "item_key"))
@@ -53,7 +53,7 @@ def ingest(items: DataFrame, sources: DataFrame, universe: DataFrame, known: Dat
     decided = new if run.dry else decide(events.withColumn("bits", simhash_of(F.col("simhash64"))), "event_ord", "bits", known=known)
     events = events.drop("run_id", "dedup_decision", "duplicate_of_event_id").withColumn("run_id", F.lit(run.run_id)).join(decided.withColumnRenamed("ord", "event_ord"), "event_ord")
     classes = sources.select("source_id", balance_class(F.col("source_category"), F.col("fetch_method"), manual_backfill()).alias("balance_class"))
-    events = events.join(F.broadcast(classes), "source_id")  # a registry
+    events = events.join(classes, "source_id")
     passed = admit(events.where(~skipped(F.col("dedup_decision"))), "run_id", "balance_class", ["event_ord"], run.caps)
     stored = event_partitions(passed.where("admitted"), "fetched_at_ms")
     stored = stored.withColumn("line", json_line(*POINTER_FIELDS, "observed_at_ms", "language", "author_or_channel", "title", "body", "url", "run_id"))

@@ -43,11 +43,12 @@ def near_duplicate_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_of_kind(spark: SparkSession, d: str) -> DataFrame:
-    """The first event with the same key and with the same content, for every event; by two aggregations joined back."""
+    """The first event with the same key and with the same content, for every event; by two aggregations joined back. A null key or
+    content is like no other."""
     rows = read(spark, d, "raw_intel_event").select("event_ord", "dedup_key", "normalized_content_hash")
     key = rows.groupBy("dedup_key").agg(F.min("event_ord").alias("first_same_key"))
     content = rows.groupBy("normalized_content_hash").agg(F.min("event_ord").alias("first_same_content"))
-    return rows.join(key, "dedup_key").join(content, "normalized_content_hash").select("event_ord", "first_same_key", "first_same_content")
+    return rows.join(key, "dedup_key", "left").join(content, "normalized_content_hash", "left").select("event_ord", "first_same_key", "first_same_content")
 
 
 def dedup_decisions(spark: SparkSession, d: str) -> DataFrame:
@@ -97,8 +98,8 @@ def page_title_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def anchor_titles(spark: SparkSession, d: str) -> DataFrame:
     items = read(spark, d, "feed_item").where("title is not null and url is not null").dropDuplicates(["item_key"])
-    page = F.concat(F.lit('<ul><li><a href="/about">Home</a></li><li><a class="x" href="'), F.col("url"), F.lit('"><b>'), F.col("title"), F.lit('</b></a></li><li><a href="/pic.png">A picture of it</a></li><li><a href="javascript:go()">Run the script</a></li><li><a href="/more/of/this">All the older items</a></li></ul>'))
-    return anchor_items(items.select("item_key", F.lit("https://host.invalid/news/").alias("base"), page.alias("page")), "item_key", "base", "page").select("item_key", "item_ord", "title", "url")
+    page = F.concat(F.lit('<ul><li><a href="/about">Home</a></li><li><a class="x" href="'), F.col("url"), F.lit('"><b>'), F.col("title"), F.lit('</b></a> : Notes on '), F.col("item_key"), F.lit(' that run to more than forty characters in all</li><li><a href="/pic.png">A picture of it</a></li><li><a href="javascript:go()">Run the script</a></li><li><a href="/more/of/this">All the older items</a></li></ul>'))
+    return anchor_items(items.select("item_key", F.lit("https://host.invalid/news/").alias("base"), page.alias("page")), "item_key", "base", "page").select("item_key", "item_ord", "title", "url", "body")
 
 
 def url_forms(spark: SparkSession, d: str) -> DataFrame:
@@ -210,7 +211,7 @@ SELECT n.event_ord, format('{{:016x}}', coalesce(bits, 0::UBIGINT)) AS simhash F
 f AS (SELECT x, min(o) AS o FROM r GROUP BY x)
 SELECT f.o AS a, r.o AS b FROM r JOIN f USING (x) WHERE r.o > f.o
 UNION ALL SELECT p.o AS a, q.o AS b FROM f p, f q WHERE p.o < q.o AND bit_count(xor(p.x, q.x)) <= 4""",
-    "first_of_kind": "SELECT event_ord, min(event_ord) OVER (PARTITION BY dedup_key) AS first_same_key, min(event_ord) OVER (PARTITION BY normalized_content_hash) AS first_same_content FROM raw_intel_event WHERE dedup_key IS NOT NULL AND normalized_content_hash IS NOT NULL",
+    "first_of_kind": "SELECT event_ord, CASE WHEN dedup_key IS NOT NULL THEN min(event_ord) OVER (PARTITION BY dedup_key) END AS first_same_key, CASE WHEN normalized_content_hash IS NOT NULL THEN min(event_ord) OVER (PARTITION BY normalized_content_hash) END AS first_same_content FROM raw_intel_event",
     "dedup_shards": "SELECT DISTINCT event_ord, unnest([left(exact_source_key, 2), left(canonical_url_hash, 2), left(normalized_content_hash, 2)]) AS hash_prefix FROM raw_intel_event",
     "shard_pruned_lookup": """WITH i AS (SELECT rowid AS r, unnest(list_distinct(list_filter([left(exact_source_key, 2), left(canonical_url_hash, 2), left(normalized_content_hash, 2)], lambda x: x IS NOT NULL))) AS hash_prefix
   FROM (SELECT row_number() OVER () AS rowid, * FROM dedup_index_v2 WHERE event_id IS NOT NULL))
@@ -221,8 +222,8 @@ CASE WHEN event_id IS NOT NULL AND regexp_full_match(simhash64, '[0-9a-fA-F]{1,1
     "clean_html": f"""WITH {_ITEMS} SELECT item_key, {sql_squeeze(sql_clean(_PAGE))} AS plain, {sql_squeeze(sql_decode(sql_clean(_PAGE)))} AS decoded, {_visible(_PAGE)} AS visible,
 contains(lower({_PAGE}), 'just a moment') AND contains(lower({_PAGE}), 'cloudflare') AS blocked FROM items""",
     "anchor_titles": f"""WITH {_ITEMS}, x AS (SELECT item_key, {sql_squeeze(sql_decode(sql_clean('title')))} AS t, CASE WHEN regexp_matches(trim(url), '^https?://') THEN trim(url) ELSE 'https://host.invalid/news/' || trim(url) END AS u FROM items WHERE title IS NOT NULL AND url IS NOT NULL)
-SELECT item_key, 0 AS item_ord, t AS title, u AS url FROM x WHERE length(t) >= 8
-UNION ALL SELECT item_key, CASE WHEN length(t) >= 8 THEN 1 ELSE 0 END, 'All the older items', 'https://host.invalid/more/of/this' FROM x""",
+SELECT item_key, 0 AS item_ord, t AS title, u AS url, 'Notes on ' || item_key || ' that run to more than forty characters in all' AS body FROM x WHERE length(t) >= 8
+UNION ALL SELECT item_key, CASE WHEN length(t) >= 8 THEN 1 ELSE 0 END, 'All the older items', 'https://host.invalid/more/of/this', '' FROM x""",
     "url_forms": """SELECT source_id, regexp_extract(source_url, '^[^:/]+://[^/]+') || '/a/b' AS rooted, regexp_replace(source_url, '/+$', '') || '/' || source_id AS below,
 source_url || CASE WHEN contains(source_url, '?') THEN '&' ELSE '?' END || 'symbol=' || source_id || '&limit=1' AS queried, regexp_replace(source_name, '[^A-Za-z0-9._-]', '_', 'g') AS segment,
 list_reduce(list_concat([0::UHUGEINT], list_transform(string_split(source_id, ''), lambda c: ascii(c)::UHUGEINT)), lambda a, b: (a * 31 + b) % 18446744073709551616)::VARCHAR AS "offset",
