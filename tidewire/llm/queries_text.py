@@ -29,4 +29,21 @@ def p9_leaked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p9_leaked_items": p9_leaked_items}
-SQL: dict[str, str] = {}
+
+def _words(table: str, key: str) -> str:
+    """Words of texts without tags; the character references that occur in the tables stand for no letters."""
+    plain = r"regexp_replace(regexp_replace(text, '(?s)</?[A-Za-z][^<>]*>|<!--.*?-->|<[!?][^<>]*>', ' ', 'g'), '&(?:nbsp|[lr][sd]quo|quot|amp|lt|gt|apos|#x27|#39);', ' ', 'g')"
+    return rf"SELECT {key}, regexp_extract_all(lower({plain}), '[\p{{L}}\p{{N}}]+') AS w FROM {table} WHERE text IS NOT NULL"
+
+
+_LEAKS = f"""WITH d AS ({_words('documents', 'doc_id')}), i AS ({_words('eval_item', 'item_id')}),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 6), lambda k: array_to_string(w[k:k+7], ' '))) AS g FROM d WHERE len(w) >= 8),
+ig AS (SELECT item_id, len(w) AS n, unnest(range(1, len(w) - 6)) AS k, unnest(list_transform(range(1, len(w) - 6), lambda k: array_to_string(w[k:k+7], ' '))) AS g FROM i WHERE len(w) >= 8),
+hit AS (SELECT DISTINCT doc_id, item_id, n, k FROM dg JOIN ig USING (g)),
+held AS (SELECT DISTINCT doc_id, item_id, n, unnest(range(k, k + 8)) AS p FROM hit),
+found AS (SELECT doc_id, item_id FROM held GROUP BY doc_id, item_id, n HAVING count(*) * 5 >= n * 2)"""
+
+SQL = {
+    "p9_found": f"{_LEAKS} SELECT doc_id, item_id FROM found",
+    "p9_leaked_items": f"{_LEAKS} SELECT item_id, count(*) AS documents FROM found GROUP BY 1",
+}
