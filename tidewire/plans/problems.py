@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.functions.instants import epoch_bigint_ms, to_instants
+from tidewire.functions.instants import ZONE_MINUTES, epoch_bigint_ms, to_instants
 from tidewire.operators.delivery import SeenStore, redeliveries
 from tidewire.operators.lateness import event_fates, period_figures
 from tidewire.session import read, scratch
@@ -53,6 +53,36 @@ pub AS (SELECT event_id, min(CASE
     min(fetched_at_ms) AS came, max(content_quality_score) AS score FROM raw_intel_event GROUP BY event_id),
 timed AS (SELECT *, pub // 3600000 * 3600000 AS start, pub // 3600000 * 3600000 + 3600000 AS fin FROM pub WHERE pub IS NOT NULL)"""
 
+
+_Z = r"[A-Za-z]{1,5}|[+-]\d{1,2}(?::?\d{2})?"
+#: What is written in the tables: notation, and its groups in order.
+_WRITTEN = {
+    "a": (rf"^(\d{{4}})-(\d{{1,2}})-(\d{{1,2}})(?:[Tt ](\d{{1,2}}):(\d{{2}})(?::(\d{{2}})(?:[.,](\d+))?)?)?(?: ?({_Z}))?$", "y mo d h mi s f z"),
+    "b": (rf"^(\d{{4}})(\d{{2}})(\d{{2}})[Tt](\d{{2}})(\d{{2}})(\d{{2}})({_Z})?$", "y mo d h mi s z"),
+    "c": (rf"^(?:[A-Za-z]{{3}}, )?(\d{{1,2}}) ([A-Za-z]{{3}}) (\d{{4}}|\d{{2}}) (\d{{2}}):(\d{{2}}):(\d{{2}})(?: ({_Z}))?$", "d mo y h mi s z"),
+    "e": (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?: (\d{1,2}):(\d{2})(?::(\d{2}))?(?: (AM|PM))?)?$", "n1 n2 y h mi s half"),
+    "g": (rf"^([A-Za-z]{{3,9}}) (\d{{1,2}}), (\d{{4}}) (?:at )?(\d{{1,2}}):(\d{{2}})(?::(\d{{2}}))?(?: (AM|PM))?(?: ({_Z}))?$", "mo d y h mi s half z"),
+}
+
+
+def _part(name: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif({k}.{name}, '')" for k, (_, groups) in _WRITTEN.items() if name in groups.split()) + ")"
+
+
+_UNITS = " ".join(f"WHEN {{0}} >= 946684800{zeros} AND {{0}} < 4102444800{zeros} THEN {ms}" for zeros, ms in (("", "{0} * 1000"), ("000", "{0}"), ("000000", "{0} // 1000"), ("000000000", "{0} // 1000000")))
+_INSTANTS = f"""
+item AS (SELECT item_key, f.source_id, regexp_replace(published_at, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g') AS p, day_first, clock_zone FROM feed_item f LEFT JOIN (SELECT source_id, min(clock_zone) AS clock_zone, min(day_first) AS day_first FROM source_clock GROUP BY 1) USING (source_id)),
+parts AS (SELECT *, {", ".join(f"regexp_extract(p, '{pattern}', [" + ", ".join(f"'{g}'" for g in groups.split()) + f"]) AS {k}" for k, (pattern, groups) in _WRITTEN.items())} FROM item),
+named AS (SELECT item_key, p, clock_zone, {", ".join(f"{_part(x)} AS {x}" for x in ("y", "h", "mi", "s", "f", "half", "z"))},
+  coalesce({_part("mo")}, CASE WHEN coalesce(day_first, false) THEN nullif(e.n2, '') ELSE nullif(e.n1, '') END) AS mo, coalesce({_part("d")}, CASE WHEN coalesce(day_first, false) THEN nullif(e.n1, '') ELSE nullif(e.n2, '') END) AS d FROM parts),
+wall AS (SELECT *, try_strptime(CASE WHEN length(y) = 2 THEN '20' || y ELSE y END || '-' || CASE WHEN regexp_matches(mo, '^\\d') THEN mo ELSE ((instr('janfebmaraprmayjunjulaugsepoctnovdec', lower(left(mo, 3))) + 2) // 3)::VARCHAR END || '-' || d || ' ' ||
+    (coalesce(h::INTEGER, 0) + CASE WHEN half = 'PM' AND h::INTEGER < 12 THEN 12 WHEN half = 'AM' AND h::INTEGER = 12 THEN -12 ELSE 0 END) || ':' || coalesce(mi, '00') || ':' || coalesce(s, '00'), '%Y-%m-%d %H:%M:%S') AS w, coalesce(left(rpad(f, 3, '0'), 3)::BIGINT, 0) AS ms FROM named),
+off AS (SELECT *, CASE WHEN z IS NULL THEN NULL WHEN z[1] IN ('+', '-') THEN (CASE WHEN z[1] = '-' THEN -1 ELSE 1 END) * (regexp_extract(z, '^.(\\d{{1,2}})', 1)::INTEGER * 60 + coalesce(try_cast(regexp_extract(z, '^.\\d{{1,2}}:?(\\d{{2}})$', 1) AS INTEGER), 0))
+    ELSE map {{{", ".join(f"'{k}': {v}" for k, v in ZONE_MINUTES.items())}}}[upper(z)] END AS o, timezone(clock_zone, w) AS t FROM wall),
+inst AS (SELECT item_key AS rec_id, CASE WHEN regexp_full_match(p, '\\d{{1,19}}') THEN (CASE {_UNITS.format("p::HUGEINT")} END)::BIGINT WHEN o IS NOT NULL THEN epoch_ms(w) - o * 60000 + ms WHEN z IS NOT NULL THEN NULL
+    WHEN timezone(clock_zone, t - INTERVAL 1 HOUR) = w THEN epoch_ms(t - INTERVAL 1 HOUR) + ms WHEN h IS NULL OR timezone(clock_zone, t) = w THEN epoch_ms(t) + ms END AS ms FROM off
+  UNION ALL SELECT event_id, CASE {_UNITS.format("published_at_ms")} END FROM raw_intel_event)"""
+
 SQL = {
     "p4_found": f"WITH {_PUBLISHED} SELECT event_id, CASE WHEN came <= fin + 86400000 THEN 'corrects' ELSE 'too_late' END AS fate FROM timed WHERE came > fin + 900000",
     "p4_hourly_figures": f"""WITH {_PUBLISHED}
@@ -60,6 +90,7 @@ SELECT start AS period_start_ms, count(*) FILTER (came <= fin + 900000) AS n_fir
   coalesce(sum(score) FILTER (came <= fin + 900000), 0)::BIGINT AS v_first, count(*) FILTER (came <= fin + 86400000) AS n_final,
   coalesce(sum(score) FILTER (came <= fin + 86400000), 0)::BIGINT AS v_final, count(*) FILTER (came > fin + 86400000) AS n_too_late
 FROM timed GROUP BY start""",
+    "p6_found": f"WITH {_INSTANTS} SELECT rec_id, min(ms) AS published_ms FROM inst WHERE rec_id IS NOT NULL GROUP BY 1 HAVING min(ms) IS NOT NULL",
     "p7_found": """SELECT delivery_id FROM (
   SELECT delivery_id, row_number() OVER (PARTITION BY lower(regexp_replace(event_id, '^\\s+|\\s+$', '', 'g'))
     ORDER BY created_at_ms NULLS LAST, delivery_id) AS rn
