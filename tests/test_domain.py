@@ -13,7 +13,7 @@ from tidewire.operators.health import cadence_admitted, failure_runs, failure_ty
 from tidewire.operators.symbols import haystack, symbol_matcher
 from tidewire.session import read, scratch
 from tidewire.sources.feeds import feed_items, parse_feed
-from tidewire.sources.index import read_index
+from tidewire.sources.index import candidate_partitions, read_index, read_recent
 from tidewire.sources.layout import locate, manifest, replay, shards, write_json_lines
 from tidewire.sources.payloads import rich_text
 
@@ -193,3 +193,6 @@ def test_index_round_trip(spark):
     spark.createDataFrame([("not json",), ("",)], "value string").write.mode("append").text(f"{at}/dt=2025-01-02")
     got = {r.dedup_key for r in read_index(spark, at).collect()}
     assert got == {"k1", "k2"} and {r.dedup_key for r in read_index(spark, at, ["2025-01-01"]).collect()} == {"k1"}
+    assert {r.dedup_key for r in read_recent(spark, at, "2025-01-15").collect()} == {"k1", "k2"} and {r.dedup_key for r in read_recent(spark, at, "2025-01-16").collect()} == {"k2"} and read_recent(spark, at, "2025-01-02", 0).count() == 1
+    hashes = spark.createDataFrame([("aa1", "ab2", None), ("aa9", None, None)], "exact_source_key string, canonical_url_hash string, normalized_content_hash string")
+    assert sorted(tuple(r) for r in candidate_partitions(hashes, "2025-03-01", 1).collect()) == [("2025-02-28", "aa"), ("2025-02-28", "ab"), ("2025-03-01", "aa"), ("2025-03-01", "ab")]

@@ -2,8 +2,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewire.operators.delivery import SeenStore
+from tidewire.operators.lateness import PeriodFigures
 from tidewire.session import scratch
-from tidewire.streaming.pipeline import deliver_once, fetch_states, windowed_counts
+from tidewire.streaming.pipeline import corrected_figures, deliver_once, fetch_states, windowed_counts
 
 
 def test_deliver_once_over_restarts(spark, tmp_path):
@@ -17,6 +18,26 @@ def test_deliver_once_over_restarts(spark, tmp_path):
     assert sorted(r.delivery_id for r in spark.read.parquet(out).collect()) == [1, 3, 5]
 
 
+def test_retention(spark, tmp_path):
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    store = SeenStore(spark, scratch(spark, "stream"), shards=2)
+    schema = "delivery_id bigint, event_id string, created_at_ms bigint"
+    for n, ids in enumerate(("ab", "ac", "cb")):
+        spark.createDataFrame([(10 * n + i, k, i) for i, k in enumerate(ids)], schema).write.mode("append").parquet(src)
+        deliver_once(spark.readStream.schema(schema).parquet(src), store, out, check, retain=1, compact_every=2).awaitTermination()
+    assert sorted(r.delivery_id for r in spark.read.parquet(out).collect()) == [0, 1, 11, 21]  # b comes again after its batch was forgotten
+
+
+def test_corrected_figures(spark, tmp_path):
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    store, schema, hour = PeriodFigures(spark, scratch(spark, "figures")), "id string, p bigint, a bigint", 3_600_000
+    for rows in ([("x", 5, 10), ("y", hour + 5, hour + 9)], [("z", 7, 3 * hour), ("w", 8, 40 * hour)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        corrected_figures(spark.readStream.schema(schema).parquet(src), store, "id", "p", "a", check, out).awaitTermination()
+    got = {(r.batch, r.period_start_ms): (r.n_first, r.n_final, r.n_too_late) for r in spark.read.parquet(out).collect()}
+    assert got == {(0, 0): (1, 1, 0), (0, hour): (1, 1, 0), (1, 0): (1, 2, 1)}
+
+
 def run(spark, df, mode, name):
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()

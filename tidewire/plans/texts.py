@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.html import anchor_items, looks_blocked, page_summary, page_title
 from tidewire.functions.instants import parse_notation, parse_published_at_ms
-from tidewire.functions.text import canonical_symbol, clean_html_text, clean_text, hash_hex, normalize_text, path_segment, short_hash, simhash64, simhash_hex, source_offset, utc_date, utc_hour, visible_text
+from tidewire.functions.text import canonical_symbol, clean_html_text, clean_text, first_u64_hash, hash_hex, normalize_text, path_segment, short_hash, shingles, simhash64, simhash_hex, source_offset, utc_date, utc_hour, visible_text
 from tidewire.functions.urls import absolute_url, canonical_url, with_query
 from tidewire.operators.decisions import decide, near_links
 from tidewire.operators.events import build_events, fingerprint
@@ -38,6 +38,13 @@ def simhash(spark: SparkSession, d: str) -> DataFrame:
     return spread(read(spark, d, "raw_intel_event").select("event_ord", "title", "body")).select("event_ord", simhash_hex(simhash64(normalize_text(_title_body()))).alias("simhash"))
 
 
+def shingle_heads(spark: SparkSession, d: str) -> DataFrame:
+    """Number of an event's shingles, and the xor of their hashes."""
+    parts = shingles(normalize_text(_title_body()))
+    heads = F.aggregate(F.transform(parts, first_u64_hash), F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(h))
+    return spread(read(spark, d, "raw_intel_event").select("event_ord", "title", "body")).select("event_ord", F.size(parts).cast("bigint").alias("shingles"), simhash_hex(heads).alias("heads"))
+
+
 def near_duplicate_links(spark: SparkSession, d: str) -> DataFrame:
     return near_links(read(spark, d, "raw_intel_event").select(F.col("event_ord").alias("ord"), simhash_of(F.col("simhash64")).alias("bits")))
 
@@ -138,7 +145,7 @@ def build_events_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "normalize_text": normalize_text_q, "content_fingerprint": content_fingerprint, "event_identity": event_identity, "simhash64": simhash, "near_duplicate_links": near_duplicate_links,
+    "normalize_text": normalize_text_q, "content_fingerprint": content_fingerprint, "event_identity": event_identity, "simhash64": simhash, "shingle_heads": shingle_heads, "near_duplicate_links": near_duplicate_links,
     "first_of_kind": first_of_kind, "dedup_decisions": dedup_decisions, "decisions_against_index": decisions_against_index, "dedup_shards": dedup_shards, "shard_pruned_lookup": shard_pruned_lookup, "known_index": known_index,
     "canonical_url": canonical_url_q, "clean_html": clean_html, "page_title_summary": page_title_summary, "anchor_titles": anchor_titles, "url_forms": url_forms,
     "event_partitions": event_partitions_q, "written_zone_times": written_zone_times, "published_at_parse": published_at_parse, "build_events": build_events_q,
@@ -207,6 +214,10 @@ h AS (SELECT event_ord, ('0x' || left(sha256(sh), 16))::UBIGINT AS x FROM s),
 b AS (SELECT event_ord, k, sum(CASE WHEN (x >> k) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM h, (SELECT unnest(range(0, 64))::UBIGINT AS k) GROUP BY ALL),
 t AS (SELECT event_ord, bit_or(CASE WHEN v > 0 THEN 1::UBIGINT << k ELSE 0::UBIGINT END) AS bits FROM b GROUP BY event_ord)
 SELECT n.event_ord, format('{{:016x}}', coalesce(bits, 0::UBIGINT)) AS simhash FROM n LEFT JOIN t USING (event_ord)""",
+    "shingle_heads": f"""WITH n AS (SELECT event_ord, list_filter(string_split({_FP}, ' '), lambda w: w <> '') AS w FROM raw_intel_event),
+s AS (SELECT event_ord, unnest(CASE WHEN len(w) < 4 THEN w ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS sh FROM n),
+h AS (SELECT event_ord, count(*) AS k, bit_xor(('0x' || left(sha256(sh), 16))::UBIGINT) AS x FROM s GROUP BY 1)
+SELECT n.event_ord, coalesce(k, 0)::BIGINT AS shingles, format('{{:016x}}', coalesce(x, 0::UBIGINT)) AS heads FROM n LEFT JOIN h USING (event_ord)""",
     "near_duplicate_links": """WITH r AS (SELECT event_ord AS o, ('0x' || simhash64)::UBIGINT AS x FROM raw_intel_event WHERE regexp_full_match(simhash64, '[0-9a-f]{1,16}') AND simhash64 <> '0000000000000000'),
 f AS (SELECT x, min(o) AS o FROM r GROUP BY x)
 SELECT f.o AS a, r.o AS b FROM r JOIN f USING (x) WHERE r.o > f.o

@@ -45,3 +45,14 @@ def pruned(sharded_index: DataFrame, events: DataFrame) -> DataFrame:
 def recent_dates(today: Column, lookback: int) -> Column:
     """ISO dates from today back, lookback + 1 of them, the latest first."""
     return F.transform(F.sequence(F.lit(0), F.lit(lookback)), lambda i: F.date_sub(today, i).cast("string"))
+
+
+def read_recent(spark: SparkSession, path: str, today: str, lookback: int = 14) -> DataFrame:
+    """The index records of today (ISO) and the lookback days before it: older dates are out of retention, and their folders unread."""
+    dates = [r[0] for r in spark.range(1).select(F.explode(recent_dates(F.lit(today).cast("date"), lookback))).collect()]
+    return read_index(spark, path, dates)
+
+
+def candidate_partitions(events: DataFrame, today: str, lookback: int = 14) -> DataFrame:
+    """dt and hash_prefix of the index partitions that events' lookups need: at most 256 prefixes for each date."""
+    return candidate_shards(events).select(F.explode(recent_dates(F.lit(today).cast("date"), lookback)).alias("dt"), "hash_prefix")

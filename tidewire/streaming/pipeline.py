@@ -15,11 +15,16 @@ from tidewire.operators.health import BACKOFF_MOST_MS, BACKOFF_MS
 from tidewire.operators.lateness import PeriodFigures
 
 
-def deliver_once(messages: DataFrame, store: SeenStore, out: str, checkpoint: str, key: str = "event_id", order: str = "created_at_ms", delivery: str = "delivery_id") -> StreamingQuery:
+def deliver_once(messages: DataFrame, store: SeenStore, out: str, checkpoint: str, key: str = "event_id", order: str = "created_at_ms", delivery: str = "delivery_id", retain: int | None = None, compact_every: int = 32) -> StreamingQuery:
     """Writes each message of a stream once, below out/batch=N. A micro-batch that is run again finds its own batch in the store and
-    overwrites its own folder, so a restart neither loses nor repeats a message. Runs over what is there and stops."""
+    overwrites its own folder, so a restart neither loses nor repeats a message. With `retain` a message is remembered for that many
+    further batches only. Bitmaps are merged every compact_every batches. Runs over what is there and stops."""
 
     def one(batch: DataFrame, number: int) -> None:
+        if retain is not None and number > retain:
+            store.forget(f"b{number - retain - 1:09d}")
+        if number % compact_every == compact_every - 1:
+            store.compact()
         kept = store.accept(batch, f"b{number:09d}", key, order, delivery).select(F.col("delivery").alias("__kept"))
         batch.join(kept, F.col(delivery) == F.col("__kept"), "left_semi").write.mode("overwrite").parquet(f"{out}/batch={number}")
 
