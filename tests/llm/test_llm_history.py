@@ -109,3 +109,15 @@ def test_a_batch_opens_only_its_ranges(spark):
                 open(f, "w").write("not to be read")
     assert match(store, simhashes(spark, [12345])) == []
     assert all(len(v) == 3 for k, v in store._bounds().items())
+
+
+def test_batches_are_taken_in_turn(spark):
+    rnd = random.Random(9)
+    store, before = HistoryRuns(spark, scratch(spark, "runs"), ranges=2, compact_after=2), []
+    for name in "abc":
+        now = [rnd.choice(before) ^ (1 << rnd.randrange(64)) if before and rnd.random() < 0.5 else rnd.getrandbits(64) | 1 for _ in range(30)]
+        want = {f"{x:x}" for x in now if any((x ^ b).bit_count() <= 4 for b in before)}
+        for _ in range(2):  # a batch that is taken again finds what it found, not itself
+            assert {r[0] for r in store.take(simhashes(spark, now), name, "event_id", "c", "u", "s").collect()} == want
+        before += now
+    assert want

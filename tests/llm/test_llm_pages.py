@@ -1,6 +1,6 @@
 import random
 
-from tidewire.llm.page_content import SENTENCE, bare, read_line, template_lines
+from tidewire.llm.page_content import SENTENCE, _blocks, _trees_of, bare, gap_middle, read_line, template_lines
 
 NAMES = "Ada Bel Cor Dan Eve Fay Gus Hal Ida Jon Kai Lea".split()
 
@@ -47,3 +47,25 @@ def test_lines():
     assert read_line("Tags: a, b, c")[1] == "tags:" and read_line("GEL 53.07 +3.7%  SUS 72.90 +0.0%  BRUR 30.29 -5.5%")[2] == "w # %"
     assert read_line("The market of the town opened again.")[3] & SENTENCE and not read_line("Read more about it")[3] & SENTENCE
     assert read_line("12 comments")[0] == read_line("3 Comments!")[0] == "# comments"
+
+
+def test_blocks_and_gaps():
+    rows = lambda *lines: [(i, *_trees_of(x, {})) for i, x in enumerate(lines)]
+    text = "The market of the town opened again."
+    a = _blocks(rows("Menu", "12 news", text, "Alone", text, "x", "y", "z"))
+    b = _blocks(rows("[menu]", "7 News", text))
+    assert a[0] == a[1] == b[0] == b[1] and a[2] is a[3] is a[4] is None and a[5] == a[6] == a[7] != a[0] and _blocks([]) == []
+    assert gap_middle([1, 2, 9, 10], 4) == 6.0 and gap_middle([1, 2, 3], 4) is None and gap_middle([], 1) is None
+
+
+def test_a_block_goes_as_a_whole(spark):
+    """A heading that always stands before text would pass for the article's own, but for its block."""
+    r, pages = random.Random(5), []
+    for i in range(300):
+        lines = [sentence(r), "Read in our app", "From the desk", sentence(r)] if i % 17 == 0 else [sentence(r), *(["From the desk"] if i % 25 == 1 else []), sentence(r)]
+        pages.append((f"p{i}", "h", "\n".join(lines)))
+    got = {}
+    for x in template_lines(spark.createDataFrame(pages, "rec string, host string, body string"), "rec", "host", "body").collect():
+        got.setdefault(x.rec, set()).add(x.line_no)
+    assert {k for k, v in got.items() if 3 in v} == {f"p{i}" for i in range(0, 300, 17)}
+    assert not {f"p{i}" for i in range(1, 300, 25) if i % 17} & set(got)

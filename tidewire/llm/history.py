@@ -241,6 +241,15 @@ class HistoryRuns:
         rows = rows.withColumn("__salt", F.pmod(F.xxhash64("__key"), F.lit(salts)).cast("int"))
         return rows.join(found, ["kind", "value", "__salt"], "left_semi").select(F.col("__key").alias(key)).distinct()
 
+    def take(self, batch: DataFrame, run: str, key: str, content: str, url: str, simhash: str) -> DataFrame:
+        """What match() finds of a new batch in all runs before it; then the batch is filed. Taken again under its name, as after a
+        failure, it is answered from what was found the first time."""
+        at = f"{self.path}/matched/{run}"
+        if run not in self._runs.names():
+            self.match(batch, key, content, url, simhash).write.mode("overwrite").parquet(at)
+            self.append(batch, run, content, url, simhash)
+        return self.spark.read.schema(batch.select(key).schema).parquet(at)
+
     def compact(self) -> None:
         """Merges the runs in effect into one without repeats; it takes effect when its marker is written, and a run that is
         appended meanwhile stays a run of its own."""

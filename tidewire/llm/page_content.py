@@ -1,10 +1,10 @@
 """The main body of pages, by removal of each site's template.
 
-A page comes as text, not as mark-up, so its tree is shallow: lists below the line that heads them, and lines, labelled lines (label
-and value) and rows of like cells. Subtrees are hashed in a form free of what varies on a site without meaning (decoration, case,
-numbers; the value below a label; the contents of like cells) and counted per host over distinct stories in Spark. Subtrees that
-recur over many of a host's pages, or over pages of several hosts, are deleted; a line that heads a list of teasers takes its list
-with it. Headings that stand before paragraphs on few pages each are the articles' own and stay. No words are listed: what is a
+A page comes as text, not as mark-up, and its tree is read from that: blocks (what stands between two sentences), lists below the
+line that heads them, lines, labelled lines (label and value) and rows of like cells. Subtrees are hashed from below in a form free of
+what varies on a site without meaning (decoration, case, numbers; the value below a label; the contents of like cells): a block's hash is
+that of its lines' hashes. They are counted per host over distinct stories in Spark. Subtrees that recur over many of a host's pages, or
+over pages of several hosts, are deleted, blocks as a whole; a line that heads a list of teasers takes its list with it. Headings that stand before paragraphs on few pages each are the articles' own and stay. No words are listed: what is a
 heading and what a template is told by how often a line recurs and what follows it, and the limits are put into the widest gaps of
 those figures over the collection.
 """
@@ -95,22 +95,36 @@ def _trees_of(line: str, known: dict[str, tuple]) -> tuple[str, list[int], int]:
     return found
 
 
+def _blocks(rows: list[tuple]) -> list[int | None]:
+    """Of each line the hash of its block, of two lines at least between sentences or the page's ends; null for others."""
+    out: list[int | None] = [None] * len(rows)
+    start = 0
+    for i in range(len(rows) + 1):
+        if i == len(rows) or rows[i][3] & SENTENCE:
+            if i - start >= 2:
+                out[start:i] = [_hash("block " + " ".join(str(r[2][0]) for r in rows[start:i]))] * (i - start)
+            start = i + 1
+    return out
+
+
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """rec, host, body -> rec, host, story, line_no, subtrees (hashes), flags, follow: 1 if a sentence comes next, 2 if a headline."""
+    """rec, host, body -> rec, host, story, line_no, subtrees (hashes), block (hash), flags, follow: 1 if a sentence comes next, 2 if a
+    headline."""
     known: dict[str, tuple] = {}
     for batch in batches:
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
         for rec, host, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
             rows = [(no, *_trees_of(line, known)) for no, line in enumerate((body or "").split("\n"), 1) if not line.isspace() and line]
             longest = max((x[1] for x in rows if x[3] & SENTENCE), key=len, default=None) or max((x[1] for x in rows), key=len, default="")
             story = _hash("".join(filter(str.isalpha, longest)))
+            blocks = _blocks(rows)
             for i, (no, _, trees, flags) in enumerate(rows):
                 after = rows[i + 1][3] if i + 1 < len(rows) else 0
                 follow = 1 if after & SENTENCE else 2 if after & HEADLINE else 0
-                for column, v in zip(out, (rec, host, story, no, trees, flags, follow)):
+                for column, v in zip(out, (rec, host, story, no, trees, blocks[i], flags, follow)):
                     column.append(v)
-        kinds = [batch.schema.field(0).type, batch.schema.field(1).type, pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["rec", "host", "story", "line_no", "trees", "flags", "follow"])
+        kinds = [batch.schema.field(0).type, batch.schema.field(1).type, pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int32()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["rec", "host", "story", "line_no", "trees", "block", "flags", "follow"])
 
 
 OWN, TEMPLATE, TEASERS = 1, 2, 3
@@ -141,17 +155,21 @@ def natural_limits(x: DataFrame, short: Column, sentence: Column) -> tuple[float
     return before_text, heading, SENTENCE_RATE if cut is None else 2 ** (cut / 4)
 
 
-def site_templates(lines: DataFrame, least: int = 3) -> DataFrame:
+def _trees() -> Column:
+    return F.array_compact(F.concat("trees", F.array("block")))
+
+
+def site_templates(lines: DataFrame, least: int = 3, limits: tuple[float, float, float] | None = None) -> DataFrame:
     """host, tree and kind of every subtree that recurs on `least` stories of a host or, over hosts, on two more: 1 a heading of
-    articles, which stays, 2 template, 3 template that heads teasers."""
+    articles, which stays, 2 template, 3 template that heads teasers. limits: see natural_limits, which finds them if none are given."""
     stories = lines.select("host", "story").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    one = lines.select("host", "story", F.explode("trees").alias("tree"), F.col("trees")[0].alias("own"), "flags", "follow")
+    one = lines.select("host", "story", F.explode(_trees()).alias("tree"), F.col("trees")[0].alias("own"), "block", "flags", "follow")
     one = one.groupBy("host", "tree", "story").agg(
         F.count(F.lit(1)).alias("times"), F.sum((F.col("follow") == 1).cast("int")).alias("before_text"), F.sum((F.col("follow") == 2).cast("int")).alias("before_line"),
-        F.min("flags").alias("flags"), F.max((F.col("tree") == F.col("own")).cast("int")).alias("whole"),
+        F.min("flags").alias("flags"), F.max((F.col("tree") == F.col("own")).cast("int")).alias("whole"), F.max(F.coalesce(F.col("tree") == F.col("block"), F.lit(False))).alias("is_block"),
     )
     by = one.groupBy("host", "tree").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("times").alias("times"), F.sum("before_text").alias("before_text"), F.sum("before_line").alias("before_line"), F.min("flags").alias("flags"), F.max("whole").alias("whole"),
+        F.count(F.lit(1)).alias("n"), F.sum("times").alias("times"), F.sum("before_text").alias("before_text"), F.sum("before_line").alias("before_line"), F.min("flags").alias("flags"), F.max("whole").alias("whole"), F.max("is_block").alias("is_block"),
     ).join(stories, "host")
     over = by.groupBy("tree").agg(
         F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n_all"), F.sum("pages").alias("pages_all"), F.sum("times").alias("times_all"), F.sum("before_text").alias("text_all"), F.sum("before_line").alias("line_all"),
@@ -159,11 +177,11 @@ def site_templates(lines: DataFrame, least: int = 3) -> DataFrame:
     x = cut(by.join(over, "tree"))
     flag = lambda bit: F.col("flags").bitwiseAND(bit) != 0
     plain = ~flag(SENTENCE) & ~flag(DIGITS) & (F.col("whole") == 1)
-    before_text, heading_rate, sentence_rate = natural_limits(x, plain, flag(SENTENCE))
+    before_text, heading_rate, sentence_rate = limits or natural_limits(x, plain, flag(SENTENCE))
     often = (F.col("n") >= least) | ((F.col("hosts") >= 3) & (F.col("n_all") >= least + 2))
     rate = F.greatest(F.col("n") / F.col("pages"), F.when(F.col("hosts") >= 2, F.col("n_all") / F.col("pages_all")).otherwise(0.0))
     heading = ~flag(DIGITS) & (F.col("whole") == 1) & (F.col("n_all") / F.col("pages_all") <= heading_rate) & (F.col("text_all") >= before_text * F.col("times_all"))
-    drop = F.when(flag(SENTENCE), often & (rate >= sentence_rate)).otherwise(often & ~heading)
+    drop = F.when(flag(SENTENCE) | F.col("is_block"), often & (rate >= sentence_rate)).otherwise(often & ~heading)
     teasers = (F.col("line_all") * 2 >= F.col("times_all")) & plain  # what follows it is mostly no text
     kind = F.when(drop & teasers, TEASERS).when(drop, TEMPLATE).when(heading & ~flag(SENTENCE), OWN)
     return x.select("host", "tree", kind.alias("kind")).where("kind is not null")
@@ -203,11 +221,11 @@ def template_lines(pages: DataFrame, key: str, host: str, body: str, salts: int
     spark, at = pages.sparkSession, scratch(pages.sparkSession, "pages")
     kind = pages.schema[key].dataType.simpleString()
     src = pages.where(F.col(key).isNotNull() & F.col(host).isNotNull() & F.col(body).isNotNull()).select(F.col(key).alias("rec"), F.col(host).cast("string").alias("host"), F.col(body).alias("body"))
-    src.mapInArrow(_read_pages, f"rec {kind}, host string, story bigint, line_no int, trees array<bigint>, flags int, follow int").write.parquet(at)
+    src.mapInArrow(_read_pages, f"rec {kind}, host string, story bigint, line_no int, trees array<bigint>, block bigint, flags int, follow int").write.parquet(at)
     lines = spark.read.parquet(at)
     salt = F.pmod(F.xxhash64("rec"), F.lit(salts)).cast("int")
     cut = site_templates(lines).withColumn("salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    hit = lines.select("rec", "host", "line_no", F.explode("trees").alias("tree"), salt.alias("salt")).join(cut, ["host", "tree", "salt"]).select("rec", "line_no", F.lit(0).alias("flags"), "kind")
+    hit = lines.select("rec", "host", "line_no", F.explode(_trees()).alias("tree"), salt.alias("salt")).join(cut, ["host", "tree", "salt"]).select("rec", "line_no", F.lit(0).alias("flags"), "kind")
     every = lines.select("rec", "line_no", "flags", F.lit(0).alias("kind")).unionByName(hit)
     grouped = every.groupBy("rec").agg(F.collect_list(F.struct("line_no", "flags", "kind")).alias("lines"))  # the lines of one page
     return grouped.mapInArrow(_drop, f"rec {kind}, line_no int").select(F.col("rec").alias(key), "line_no")
