@@ -38,7 +38,7 @@ def test_diagnosis(spark, tmp_path):
     for s in shapes:
         assert {r.asset for r in focus_symbols(gap(s)).collect()} <= {"A", "AUSDT", "B"}
     verdict = lambda *names: diagnosis(covered, spark.createDataFrame([(n,) for n in names], "asset string")).first().verdict
-    assert verdict("A", "B") == "PASS_CANDIDATE_GAP_DIAGNOSIS" and verdict("A", "Z") == "RECONCILE_CANDIDATE_GAP_UNIVERSE" and verdict("A", "C") == "ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY" and verdict() == "EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE"
+    assert verdict("A", "B") == "EXPAND_MAJOR50_DIRECT_SOURCE_COVERAGE" and verdict("A", "Z") == "RECONCILE_CANDIDATE_GAP_UNIVERSE" and verdict("A", "C") == "ADD_CANDIDATE_DIRECT_SOURCE_INVENTORY" and verdict() == "PASS_CANDIDATE_GAP_DIAGNOSIS"
     assert focus_symbols(gap({})).count() == 0
 
 
